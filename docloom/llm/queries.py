@@ -1,5 +1,6 @@
 """The registered queries of this subpackage."""
 from docloom.llm.media import media_digest
+from docloom.llm.secrets import scan_secrets
 from docloom.llm.token_counts import count_tokens
 
 
@@ -17,5 +18,9 @@ def op5(spark, sf):
     return count_tokens(_docs(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op3_media": op3, "op5_token_counts": op5}
+def op10(spark, sf):
+    return scan_secrets(_docs(spark, sf))
+
+
+QUERIES = {"op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
 SQL = {}

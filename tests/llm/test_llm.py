@@ -44,3 +44,22 @@ def test_media(spark):
         want.append((i, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:])))
     got = media_digest(spark.createDataFrame(data, "doc_id long, text string")).collect()
     assert sorted([tuple(r)[:5] for r in got], key=repr) == sorted(want, key=repr)
+
+
+def test_secrets(spark):
+    import re
+    from docloom.llm.secrets import scan_secrets
+
+    # The base patterns.
+    pats = [("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6), ("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24)]
+    key = "aB3/" * 10
+    data = rows(spark) + [(7, f"é AKIA{'A' * 16} {key} secret=token:abcdefgh"), (8, f"alone {key}")]
+    want = []
+    for i, x in data:
+        found = [(m.start(), r, k, m.end()) for r, (k, p, n) in enumerate(pats) for m in re.finditer(p, x or "") if len(m[m.re.groups]) >= n]
+        base = ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(found))
+        want.append((i, *(sum(f[2] == k for f in found) for k, _, _ in pats), hashlib.sha256(base.encode()).hexdigest()))
+    got = scan_secrets(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=repr) == sorted(want, key=repr)
+    assert any("key:" in r["spans"] for r in got if r["doc_id"] == 7 and r["n_access"])
+    assert not any("key:" in r["spans"] for r in got if r["doc_id"] == 8 and r["spans"].count(":") and not r["n_access"])
