@@ -63,3 +63,22 @@ def test_secrets(spark):
     assert sorted([tuple(r)[:5] for r in got], key=repr) == sorted(want, key=repr)
     assert any("key:" in r["spans"] for r in got if r["doc_id"] == 7 and r["n_access"])
     assert not any("key:" in r["spans"] for r in got if r["doc_id"] == 8 and r["spans"].count(":") and not r["n_access"])
+
+
+def test_repeats(spark):
+    from docloom.llm.substring_dedup import remove_repeats
+
+    long = " ".join(f"w{n % 31}" for n in range(200))
+    data = [r for r in rows(spark) if r[0] is not None and r[0] not in (3,)] + [(900, long), (901, "x " + long), (902, None)]
+    data = list(dict(data).items())
+    seen, want = set(), []
+    for i, x in sorted(data):
+        w = (x or "").encode().split()
+        gone = set()
+        for p in range(len(w) - 19):
+            if (g := tuple(w[p : p + 20])) in seen:
+                gone.update(range(p, p + 20))
+            seen.add(g)
+        want.append((i, len(w), len(gone), hashlib.sha256(b" ".join(y for n, y in enumerate(w) if n not in gone)).hexdigest()))
+    got = remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
