@@ -1,5 +1,6 @@
 """The registered queries of this subpackage."""
 from docloom.llm.media import media_digest
+from docloom.llm.mixing import mix
 from docloom.llm.secrets import scan_secrets
 from docloom.llm.substring_dedup import remove_repeats
 from docloom.llm.token_counts import count_tokens
@@ -27,5 +28,9 @@ def op1(spark, sf):
     return remove_repeats(_docs(spark, sf))
 
 
-QUERIES = {"op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
+def op2(spark, sf):
+    return mix(_docs(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+QUERIES = {"op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
 SQL = {}

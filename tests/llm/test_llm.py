@@ -82,3 +82,30 @@ def test_repeats(spark):
         want.append((i, len(w), len(gone), hashlib.sha256(b" ".join(y for n, y in enumerate(w) if n not in gone)).hexdigest()))
     got = remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_mix(spark):
+    from docloom.llm.mixing import mix
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for small in (False, True):
+        d = docs.where("source in ('src0', 'src1', 'src10')") if small else docs
+        got = mix(d, spark.read.parquet(f"{SF}/labels.parquet")).collect()
+        source, text = {}, {}
+        for i, s, t in d.select("doc_id", "source", "text").collect():
+            source[i], text[i] = s, len((t or "").encode().split())
+        names = sorted(set(source.values()))
+        size = {s: sum(text[i] for i in source if source[i] == s) for s in names}
+        w = {s: (3, 1, 2)[n % 3] for n, s in enumerate(names)}
+        want, free, left = {}, set(names), 1.5 * sum(size.values())
+        while over := [s for s in free if left * w[s] / sum(w[x] for x in free) > 2 * size[s]]:
+            for s in over:
+                want[s] = 2.0 * size[s]
+                free.discard(s)
+            left = 1.5 * sum(size.values()) - sum(want.values())
+        want |= {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        assert len(got) == len(source)
+        for s in names:
+            own = [r for r in got if source[r.doc_id] == s]
+            assert all(abs(r.target - want[s]) < 1e-6 * max(1, want[s]) and r.size == text[r.doc_id] and 0 <= r.taken <= 2 * r.size for r in own)
+            assert abs(sum(r.taken for r in own) - want[s]) <= 1
