@@ -4,6 +4,7 @@ from docloom.llm.mixing import mix
 from docloom.llm.secrets import scan_secrets
 from docloom.llm.substring_dedup import remove_repeats
 from docloom.llm.token_counts import count_tokens
+from docloom.llm.warc import round_trip
 
 
 def _docs(spark, sf):
@@ -32,5 +33,9 @@ def op2(spark, sf):
     return mix(_docs(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
 
 
-QUERIES = {"op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
+def op8(spark, sf):
+    return round_trip(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+QUERIES = {"op8_warc": op8, "op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
 SQL = {}

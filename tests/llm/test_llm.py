@@ -109,3 +109,21 @@ def test_mix(spark):
             own = [r for r in got if source[r.doc_id] == s]
             assert all(abs(r.target - want[s]) < 1e-6 * max(1, want[s]) and r.size == text[r.doc_id] and 0 <= r.taken <= 2 * r.size for r in own)
             assert abs(sum(r.taken for r in own) - want[s]) <= 1
+
+
+def test_warc(spark):
+    from docloom.llm.warc import round_trip
+
+    data = [(r[0], r[1], r[2]) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").collect()]
+    data += [(9001, None, None), (9002, "u", data[3][2]), (9003, "u", "short"), (9004, "u", "short"), (None, "u", data[4][2])]
+    first = {}
+    for i, _, x in data:
+        if i is not None and len((x or "").encode()) >= 100:
+            first[x] = min(i, first.get(x, i))
+    want = []
+    for i, _, x in data:
+        b = (x or "").encode()
+        other = first.get(x) if first.get(x) != i else None
+        want.append((i, len(b), hashlib.sha256(b).hexdigest(), "response" if other is None else "revisit", other))
+    got = round_trip(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
