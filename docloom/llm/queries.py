@@ -1,4 +1,5 @@
 """The registered queries of this subpackage."""
+from docloom.llm.langid import identify
 from docloom.llm.media import media_digest
 from docloom.llm.mixing import mix
 from docloom.llm.secrets import scan_secrets
@@ -37,5 +38,9 @@ def op8(spark, sf):
     return round_trip(spark.read.parquet(f"{sf}/pages.parquet"))
 
 
-QUERIES = {"op8_warc": op8, "op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
+def op9(spark, sf):
+    return identify(_docs(spark, sf))
+
+
+QUERIES = {"op9_language_id": op9, "op8_warc": op8, "op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
 SQL = {}

@@ -127,3 +127,15 @@ def test_warc(spark):
         want.append((i, len(b), hashlib.sha256(b).hexdigest(), "response" if other is None else "revisit", other))
     got = round_trip(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_language(spark):
+    from docloom.llm.langid import identify
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(5000, None, "en"), (5001, "12 !", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in identify(docs.union(odd)).collect()}
+    true = {i: x for i, _, x in docs.collect()}
+    held = [i for i in true if got[i].held_out]
+    assert sum(got[i].lang_pred == true[i] for i in held) >= 0.95 * len(held)
+    assert got[5000].lang_pred == got[5001].lang_pred == "und" and not any(got[i].rejected for i in true)
