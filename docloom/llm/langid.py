@@ -69,3 +69,18 @@ def identify(docs: DataFrame) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     d = docs.select("doc_id", held.alias("held_out"), "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("ok"))
     return d.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is identified; null, letterless and far texts go."""
+    idf, names, cents = fit(docs)
+    at = docs.columns.index("text")
+
+    def known(t):
+        return bool(names) and t is not None and any(c.isalpha() for c in t) and (cents @ vector(t, idf)).max() >= REJECT
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array([known(t) for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

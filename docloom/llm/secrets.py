@@ -34,13 +34,14 @@ def joined(items: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(items), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-def scan_secrets(docs: DataFrame) -> DataFrame:
+def _found(docs: DataFrame) -> DataFrame:
+    """row (all columns of docs), doc_id, text, the base kinds' spans, own (all of those) and every (with the linked ones)."""
     text = F.coalesce("text", F.lit(""))
-    d = docs.select("doc_id", text.alias("text"), F.sha2(text, 256).alias("digest"))
+    d = docs.select(F.struct("*").alias("row"), "doc_id", text.alias("text"), F.sha2(text, 256).alias("digest"))
     base = [spans(F.col("text"), i, k, p if k != "hex" else "(?<![0-9a-f])[0-9a-f]{24,}+", n).alias(k) for i, (k, p, n) in enumerate(BASE)]
     weak = [spans(F.col("text"), 3 + i, k, p, 1) for i, (k, p) in enumerate(WEAK)]
-    d = d.select("doc_id", "digest", *base, F.concat(*weak).alias("weak"))
-    each = d.where(F.size("weak") > 0).dropDuplicates(["doc_id", "digest"])
+    d = d.select("row", "doc_id", "text", "digest", *base, F.concat(*weak).alias("weak"))
+    each = d.where(F.size("weak") > 0).select("doc_id", "digest", "weak", "assign", "access").dropDuplicates(["doc_id", "digest"])
     low, high = lambda c: F.floor(F.col(f"{c}.start") / SCOPE), lambda c: F.floor(F.col(f"{c}.end") / SCOPE)
     w = each.select("doc_id", "digest", F.explode("weak").alias("w")).withColumn("bin", F.explode(F.sequence(low("w") - 1, high("w") + 1)))
     p = each.select("doc_id", "digest", F.explode(F.concat("assign", "access")).alias("p")).withColumn("bin", F.explode(F.sequence(low("p"), high("p")))).withColumnRenamed("doc_id", "other").withColumnRenamed("digest", "same")
@@ -49,6 +50,29 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     on = F.col("doc_id").eqNullSafe(F.col("other")) & (F.col("digest") == F.col("same")) & (w["bin"] == p["bin"]) & near & fits
     linked = w.join(p, on, "left_semi").groupBy("doc_id", "digest").agg(F.collect_set("w").alias("found")).withColumnsRenamed({"doc_id": "other", "digest": "same"})
     r = d.join(linked, d["doc_id"].eqNullSafe(linked["other"]) & (d["digest"] == linked["same"]), "left")
-    own = F.concat("assign", "access", "hex")
-    every = F.concat(own, F.coalesce("found", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")))
-    return r.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k, _, _ in BASE], F.sha2(joined(own), 256).alias("base_sha256"), joined(every).alias("spans"))
+    r = r.withColumn("own", F.concat("assign", "access", "hex"))
+    return r.withColumn("every", F.concat("own", F.coalesce("found", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>"))))
+
+
+def scan_secrets(docs: DataFrame) -> DataFrame:
+    r = _found(docs.select("doc_id", "text"))
+    return r.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k, _, _ in BASE], F.sha2(joined(F.col("own")), 256).alias("base_sha256"), joined(F.col("every")).alias("spans"))
+
+
+def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """docs with every span in text replaced by mark, overlapping spans by one; texts without spans and nulls stay as they are.
+
+    A column n_chars, where there is one, is counted anew for texts that change.
+    """
+    r = _found(docs)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, x):
+        gap = F.col("text").substr(acc["at"] + 1, x["start"] - acc["at"])
+        out = F.when(x["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+
+    end = lambda acc: F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text")))
+    r = r.withColumn("clean", F.when(F.size("every") > 0, F.aggregate(F.array_sort("every"), start, step, end)))
+    new = {"text": F.coalesce("clean", F.col("row")["text"]), "n_chars": F.coalesce(F.length("clean").cast("long"), F.col("row")["n_chars"]) if "n_chars" in docs.columns else None}
+    return r.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
