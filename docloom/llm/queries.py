@@ -4,6 +4,7 @@ from docloom.llm.langid import identify
 from docloom.llm.media import media_digest
 from docloom.llm.mixing import mix
 from docloom.llm.near_dup import near_duplicates
+from docloom.llm.pii import find_personal_data
 from docloom.llm.secrets import scan_secrets
 from docloom.llm.substring_dedup import remove_repeats
 from docloom.llm.token_counts import count_tokens
@@ -52,5 +53,9 @@ def op6(spark, sf):
     return find_items(_docs(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
 
-QUERIES = {"op4_near_dup": op4, "op6_decontamination": op6, "op9_language_id": op9, "op8_warc": op8, "op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
+def op7(spark, sf):
+    return find_personal_data(_docs(spark, sf))
+
+
+QUERIES = {"op7_pii": op7, "op4_near_dup": op4, "op6_decontamination": op6, "op9_language_id": op9, "op8_warc": op8, "op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
 SQL = {}
