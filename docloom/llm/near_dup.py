@@ -197,13 +197,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     reps = stored(reps.select(F.col("doc_id").alias("k"), "n", "sig").dropDuplicates(["k"]))
     bands = stored(_banded(reps))
     lead = bands.groupBy("h").agg(F.min("k").alias("lead"), F.count("*").alias("m")).where("m > 1").select("h", "lead")
-    pairs = bands.join(lead, "h").where("k != lead").select(F.col("lead").alias("a"), F.col("k").alias("b")).distinct()
-    pairs = stored(pairs)
+    shared = stored(bands.join(lead, "h"))
+    pairs = stored(shared.where("k != lead").select(F.col("lead").alias("a"), F.col("k").alias("b")).distinct())
     ids = pairs.select("a").union(pairs.select("b")).distinct()
-    texts = stored(docs.where("text is not null").select(F.col("doc_id").alias("k"), "text").join(ids, F.col("k") == F.col("a"), "left_semi")).dropDuplicates(["k"])
+    texts = stored(docs.where("text is not null").select(F.col("doc_id").alias("k"), "text").join(ids.hint("merge"), F.col("k") == F.col("a"), "left_semi")).dropDuplicates(["k"])
     links = stored(_linked(_pruned(pairs, reps, percent), texts, percent))
     comp = components(links)
-    more = stored(_linked(stored(_rest(bands, comp, reps, percent)), texts, percent))
+    more = stored(_linked(stored(_rest(shared, comp, reps, percent)), texts, percent))
     comp = stored(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)))
     groups = rep.where("copies > 1").select(F.col("digest").alias("dig"), "k")
     r = d.select("doc_id", "n", "digest").join(groups, F.col("digest") == F.col("dig"), "left").withColumn("k", F.coalesce("k", "doc_id"))
