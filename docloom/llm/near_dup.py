@@ -3,8 +3,8 @@
 A document is its set of distinct 5-word shingles (one of the whole sequence if it is shorter; none without words), kept
 as 64-bit hashes. Equal sets are folded into one row first. Bands of ROWS minima give buckets; each member is compared
 with the smallest id of its buckets. Links found so make components, and only buckets that still hold several of them
-are compared member by member, in blocks of bounded size, pairs inside a component being skipped since they change no
-component. Signatures are compared a batch at a time: a pair is dropped once the posterior chance that its similarity
+are compared member by member, in blocks of bounded size and on larger sketches too, pairs inside a component being
+skipped since they change no component. Signatures are compared a batch at a time: a pair is dropped once the posterior chance that its similarity
 reaches the threshold is below MISS. Survivors are decided on full sets. The chance that a pair at the threshold shares
 no bucket is (1 - 0.85^5)^24, below one in a million.
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from docloom.llm.components import components
 from docloom.llm.shared import stored
 
-SHINGLE, BANDS, ROWS, BATCH, MISS, BLOCK = 5, 24, 5, 20, 1e-4, 256
+SHINGLE, BANDS, ROWS, BATCH, MISS, BLOCK, SKETCH, SLACK = 5, 24, 5, 20, 1e-4, 256, 512, 2
 PERMS, CACHE = BANDS * ROWS, 300_000
 M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 MULT = np.random.default_rng(7).integers(0, 2**32, (PERMS, 1), dtype=np.uint32) | np.uint32(1)
@@ -27,11 +27,11 @@ ADD = np.random.default_rng(8).integers(0, 2**32, (PERMS, 1), dtype=np.uint32)
 PAIRS = "a long, b long, bands int"
 
 
-def least_equal(percent: int) -> np.ndarray:
-    """For 0 to PERMS minima compared: how many must be equal for P(similarity >= percent / 100 | data) >= MISS, prior uniform."""
+def least_equal(percent: int, most: int = 0) -> np.ndarray:
+    """For 0 to PERMS minima compared, or for the one number most: how many must be equal for P(similarity >= percent / 100 | data) >= MISS, prior uniform."""
     s = (np.arange(4000) + 0.5) / 4000
-    high, out = s >= percent / 100, np.zeros(PERMS + 1, np.int64)
-    for n in range(1, PERMS + 1):
+    high, out = s >= percent / 100, np.zeros(max(PERMS, most) + 1, np.int64)
+    for n in [most] if most else range(1, PERMS + 1):
         k = np.arange(n + 1)[:, None]
         like = k * np.log(s) + (n - k) * np.log1p(-s)
         like = np.exp(like - like.max(1, keepdims=True))
@@ -160,25 +160,53 @@ def _linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return p.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _rest(bands: DataFrame, comp: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket, passing the signature test, compared in blocks."""
-    least = least_equal(percent)
+def _lowest(texts: DataFrame) -> DataFrame:
+    """k, low: the SKETCH smallest 32-bit halves of the set's hashes, all of them for sets up to that size."""
+
+    def run(batches):
+        words = Words()
+        for b in batches:
+            low = [np.unique((shingles(t, words) >> np.uint64(32)).astype(np.uint32))[:SKETCH].tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(low, pa.binary())], ["k", "low"])
+
+    return texts.select("k", "text").mapInArrow(run, "k long, low binary")
+
+
+def may_link(x: np.ndarray, y: np.ndarray, nx: int, ny: int, percent: int, least: int) -> bool:
+    """For sets that are whole in their sketches: whether they link, give or take SLACK equal 32-bit hashes; else by the posterior bound."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    if max(nx, ny) <= SKETCH:
+        return 100 * (both + SLACK) >= percent * (nx + ny - both - SLACK)
+    low = np.union1d(x, y)[:SKETCH]
+    return len(low) < SKETCH or np.count_nonzero(np.isin(low, x, assume_unique=True) & np.isin(low, y, assume_unique=True)) >= least
+
+
+def _rest(bands: DataFrame, comp: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket, compared in blocks.
+
+    Pairs that pass the signature test are compared on set sketches within the block, so that unlike pairs of a large
+    group make no rows.
+    """
+    least, fewest = least_equal(percent), int(least_equal(percent, SKETCH)[SKETCH])
     m = bands.join(comp, bands["k"] == comp["id"], "left").select("h", "k", F.coalesce("component", "k").alias("c"))
     open_ = m.groupBy("h").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("m > 2 and low != high").select("h", "m")
     m = m.join(open_, "h").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     m = m.withColumn("mine", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.join(reps.select("k", "n", "sig"), "k").select("h", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "c", "n", "sig")
+    data = reps.select("k", "n", "sig").join(_lowest(texts), "k")
+    m = m.join(data, "k").select("h", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "c", "n", "sig", "low")
 
     def run(key, t):
         i, j = key[1].as_py(), key[2].as_py()
         mine, k, c, n = (t.column(x).to_numpy() for x in ("mine", "k", "c", "n"))
         sig = _matrix(t.column("sig"))
+        low = [np.frombuffer(v, np.uint32) for v in t.column("low").to_pylist()]
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
         out = []
         for x in left:
             y = right[(c[right] != c[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
             y = y[k[y] > k[x]] if i == j else y
             y = y[alike(np.broadcast_to(sig[x], (len(y), PERMS)), sig[y], least)]
+            y = y[[may_link(low[x], low[z], int(n[x]), int(n[z]), percent, fewest) for z in y.tolist()]] if len(y) else y
             out.append(np.stack([np.minimum(k[y], k[x]), np.maximum(k[y], k[x])]))
         z = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
         return pa.table({"a": pa.array(z[0]), "b": pa.array(z[1])})
@@ -203,7 +231,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     texts = stored(docs.where("text is not null").select(F.col("doc_id").alias("k"), "text").join(ids.hint("merge"), F.col("k") == F.col("a"), "left_semi")).dropDuplicates(["k"])
     links = stored(_linked(_pruned(pairs, reps, percent), texts, percent))
     comp = components(links)
-    more = stored(_linked(stored(_rest(shared, comp, reps, percent)), texts, percent))
+    more = stored(_linked(stored(_rest(shared, comp, reps, texts, percent)), texts, percent))
     comp = stored(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)))
     groups = rep.where("copies > 1").select(F.col("digest").alias("dig"), "k")
     r = d.select("doc_id", "n", "digest").join(groups, F.col("digest") == F.col("dig"), "left").withColumn("k", F.coalesce("k", "doc_id"))
