@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from docloom.llm.components import components
-from docloom.llm.shared import stored
+from docloom.llm.shared import small_batches, stored
 
 SHINGLE, BANDS, ROWS, BATCH, MISS, BLOCK, SKETCH, SLACK = 5, 24, 5, 20, 1e-4, 256, 512, 2
 PERMS, CACHE = BANDS * ROWS, 300_000
@@ -216,6 +216,7 @@ def _rest(bands: DataFrame, comp: DataFrame, reps: DataFrame, texts: DataFrame,
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; link: 100 * intersection >= percent * union."""
+    small_batches(docs.sparkSession)
     d = stored(sketch(docs))
     known = d.where("n > 0 and doc_id is not null")
     folded = known.groupBy("digest").agg(F.min("doc_id").alias("k"), F.count("*").alias("copies"))

@@ -24,6 +24,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Texts go to Python workers in batches of at most so many rows, so that long ones do not fill an executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def _drop(spark: SparkSession, path: str) -> None:
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
