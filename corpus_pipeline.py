@@ -10,11 +10,12 @@ from docloom.llm.langid import keep_identified
 from docloom.llm.mixing import mix
 from docloom.llm.near_dup import near_duplicates
 from docloom.llm.secrets import redact_secrets
-from docloom.llm.shared import stored
+from docloom.llm.shared import small_batches, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of no known language go."""
+    small_batches(spark)
     return keep_identified(docs)
 
 
