@@ -30,7 +30,7 @@ M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 
 
 def hashed(text: str | None, words: Words) -> np.ndarray:
-    w = [x.encode() for x in WORD.findall((text or "").lower())]
+    w = WORD.findall((text or "").lower())
     return np.fromiter(map(words.__getitem__, w), np.uint64, len(w))
 
 
