@@ -1,7 +1,7 @@
 """Token counts without token ids.
 
-Each text is split into pre-tokens; a task counts the pieces of each distinct pre-token once and joins those counts to
-the frequencies of the document. The join is a dictionary in the task: no shuffle. Null text counts as empty; repeated
+Each text is split into words and those into pre-tokens; a task counts the pieces of each distinct pre-token once, sums
+them for each distinct word once and joins those counts to the word frequencies of the document. The join is a dictionary in the task: no shuffle. Null text counts as empty; repeated
 rows and null ids keep their rows; other columns are not read.
 """
 from collections import Counter
@@ -15,18 +15,21 @@ CACHE = 300_000  # entries after which the memo starts anew; results do not depe
 class _Counter:
     def __init__(self, path):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tok = Tokenizer.from_file(path)
+        self.normal = self.tok.normalizer
+        self.tok.normalizer = normalizers.Sequence([])  # pieces are normal already; alone they would be normalised anew
         # The pre-token pattern and special strings of the vocabulary file.
         self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.special = regex.compile(r"<\|startoftext\|>|<\|endoftext\|>")
-        self.memo = {}
+        self.memo, self.words = {}, {}
 
-    def count(self, text):
-        parts, freq = self.special.split(text), Counter()
+    def word(self, word):
+        """Tokens of what stands between two blanks: no pre-token crosses a blank, and neither does the normaliser."""
+        parts, freq = self.special.split(word), Counter()
         for part in parts:
-            freq.update(self.piece.findall(self.tok.normalizer.normalize_str(part)))
+            freq.update(self.piece.findall(self.normal.normalize_str(part)))
         if new := [p for p in freq if p not in self.memo]:
             if len(self.memo) > CACHE:
                 self.memo.clear()
@@ -35,6 +38,16 @@ class _Counter:
                 self.memo[p] = len(e.ids)
         return len(parts) - 1 + sum(self.memo[p] * n for p, n in freq.items())
 
+    def count(self, text):
+        # bytes.split knows the ASCII blanks only; other blanks stay inside a word and are left to the normaliser
+        freq = Counter(text.encode().split())
+        if len(self.words) > CACHE:
+            self.words.clear()
+        for w in freq:
+            if w not in self.words:
+                self.words[w] = self.word(w.decode())
+        return sum(self.words[w] * n for w, n in freq.items())
+
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     def run(batches):

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 SF = "/root/testdata/sf0.001"
-ODD = [(1, None), (None, ""), (3, "it's <|endoftext|> IT'S 12 ß É"), (3, "it's <|endoftext|> IT'S 12 ß É"), (4, "RIFF%PDF-" * 900), (5, "\t \n")]
+ODD = [(1, None), (None, ""), (3, "it's <|endoftext|> IT'S 12 ß É"), (3, "it's <|endoftext|> IT'S 12 ß É"), (4, "RIFF%PDF-" * 900), (5, "\t \n"), (6, "aİ̧b\u3000x\x1cy\x85z İ<|startoftext|>é")]
 
 
 @pytest.fixture(scope="module")
