@@ -4,6 +4,7 @@ Each text is split into words and those into pre-tokens; a task counts the piece
 them for each distinct word once and joins those counts to the word frequencies of the document. The join is a dictionary in the task: no shuffle. Null text counts as empty; repeated
 rows and null ids keep their rows; other columns are not read.
 """
+import operator
 from collections import Counter
 
 import pyarrow as pa
@@ -15,38 +16,45 @@ CACHE = 300_000  # entries after which the memo starts anew; results do not depe
 class _Counter:
     def __init__(self, path):
         import regex
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tok = Tokenizer.from_file(path)
-        self.normal = self.tok.normalizer
-        self.tok.normalizer = normalizers.Sequence([])  # pieces are normal already; alone they would be normalised anew
+        tok = Tokenizer.from_file(path)
+        self.normal, self.bpe = tok.normalizer, tok.model
+        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         # The pre-token pattern and special strings of the vocabulary file.
         self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.special = regex.compile(r"<\|startoftext\|>|<\|endoftext\|>")
         self.memo, self.words = {}, {}
 
-    def word(self, word):
+    def normalised(self, words):
+        """Printable words hold no blank, so they are normalised in one text; the others one by one."""
+        plain = [w for w in words if w and w.isprintable()]
+        out = dict(zip(plain, self.normal.normalize_str(" ".join(plain)).split(" ")))
+        return [out[w] if w in out else self.normal.normalize_str(w) for w in words]
+
+    def add(self, words):
         """Tokens of what stands between two blanks: no pre-token crosses a blank, and neither does the normaliser."""
-        parts, freq = self.special.split(word), Counter()
-        for part in parts:
-            freq.update(self.piece.findall(self.normal.normalize_str(part)))
-        if new := [p for p in freq if p not in self.memo]:
-            if len(self.memo) > CACHE:
-                self.memo.clear()
-                new = list(freq)
-            for p, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-                self.memo[p] = len(e.ids)
-        return len(parts) - 1 + sum(self.memo[p] * n for p, n in freq.items())
+        whole = [self.special.split(w) for w in words]
+        parts = list(dict.fromkeys(p for ps in whole for p in ps))
+        pieces = dict(zip(parts, map(self.piece.findall, self.normalised(parts))))
+        memo = self.memo
+        if len(memo) > CACHE:
+            memo.clear()
+        for x in {x for xs in pieces.values() for x in xs}.difference(memo):
+            # printable ASCII is its own byte-level form
+            memo[x] = len(self.bpe.tokenize(x if x.isascii() and x.isprintable() else self.bytes(x)[0][0]))
+        return [len(ps) - 1 + sum(memo[x] for p in ps for x in pieces[p]) for ps in whole]
 
     def count(self, text):
         # bytes.split knows the ASCII blanks only; other blanks stay inside a word and are left to the normaliser
         freq = Counter(text.encode().split())
-        if len(self.words) > CACHE:
-            self.words.clear()
-        for w in freq:
-            if w not in self.words:
-                self.words[w] = self.word(w.decode())
-        return sum(self.words[w] * n for w, n in freq.items())
+        known = self.words
+        if len(known) > CACHE:
+            known.clear()
+        if new := [w for w in freq if w not in known]:
+            for w, n in zip(new, self.add([w.decode() for w in new])):
+                known[w] = n
+        return sum(map(operator.mul, map(known.__getitem__, freq), freq.values()))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
