@@ -16,12 +16,61 @@ def spark():
     return SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(SQL))
 def test_equal(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     want = db.sql(f"select {', '.join(cols)} from ({SQL[name]})").fetchall()
     assert sorted(map(tuple, df.select(*cols).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_chunks(spark):
+    from docloom.operators.sections import chunks, pack, sentences, split_table, words
+
+    assert sentences("Seen by Smith et al. in 1999. See J. Doe. and on. New one!") == ["Seen by Smith et al. in 1999.", "See J. Doe. and on.", "New one!"]
+    text = " ".join(f"S{i} {'w ' * (i % 9)}end." for i in range(120)) + " " + "x" * 50 + " " + "long " * 90
+    out = pack(text, 40, 10)
+    assert all(words(c) <= 40 for c in out) and {w for c in out for w in c.split()} == set(text.split())
+    assert pack("aaaa" * 30, 32, 0, len) == ["a" * n for n in (30, 30, 30, 30)] and pack("") == []
+    assert split_table("|h|\n|-|\n|a b|\n|c d|", 4) == ["|h|\n|-|\n|a b|", "|h|\n|-|\n|c d|"]
+    md = "intro\n# A\nFirst. Second.\n| x |\n|-|\n| 1 |\nThird.\n### B\ndeep\n## C\nback\n# D\n\nend"
+    got = [tuple(r) for r in chunks(spark.createDataFrame([(1, md), (2, None), (3, "")], "paper_id long, text string")).orderBy("paper_id", "chunk_id").select("chunk_id", "section", "is_table", "embed_text").collect()]
+    assert got == [(0, "", False, "intro"), (1, "A", False, "[A] First. Second. Third."), (2, "A", True, "[A] | x |\n|-|\n| 1 |"), (3, "A > B", False, "[A > B] deep"), (4, "A > C", False, "[A > C] back"), (5, "D", False, "[D] end")]
+
+
+def test_replies(spark):
+    from pyspark.sql import functions as F
+    from docloom.operators.choices import answer
+
+    ids = ["F00-F99: Mental", "G00: Nerves", "1000-10000", "Unknown from this paper"]
+    want = [('["F"]', "choices", [ids[0]]), ("['Unknown from this paper']", "choices", [ids[3]]), ('["C", "g", "zz"]', "choices", [ids[2], ids[1]]), ("It is 1000-10000, I think", "choices", [ids[2]]), ("no idea", "abstain", []), (None, "error", None)]
+    df = spark.createDataFrame([(i, w[0]) for i, w in enumerate(want)], "i int, reply string")
+    got = [(r.reply, r.a.kind, r.a.ids) for r in df.select("i", "reply", answer(F.col("reply"), F.array(*map(F.lit, ids))).alias("a")).orderBy("i").collect()]
+    assert got == want
+
+
+def test_files(spark, tmp_path):
+    import json
+    from docloom.operators.prompts import ask
+    from docloom.sources.files import answers, files, parse, questions, sheet, write_answers
+    from docloom.streaming.ingest import ingest
+
+    for n, content in (("a.pdf", b"one\ftwo"), ("b.pdf", b""), ("c.txt", b"no")):
+        (tmp_path / n).write_bytes(content)
+    (tmp_path / "q.json").write_text(json.dumps({"questions": [{"id": "Q1", "text": "t", "choices": ["x", "y"]}, {"id": "Q2", "text": "u"}]}, indent=1))
+    (tmp_path / "s.csv").write_bytes(b"\xef\xbb\xbfpaper;q\np1;a; \n".replace(b"a; ", b'"a; b"'))
+    assert [tuple(r) for r in questions(spark, str(tmp_path / "q.json")).orderBy("pos").collect()] == [(0, "Q1", "t", ["x", "y"]), (1, "Q2", "u", None)]
+    assert [tuple(r) for r in sheet(spark, str(tmp_path / "s.csv")).collect()] == [("p1", "a; b")]
+    cut = lambda f: parse(f, lambda b: b.decode().split("\f"), lambda b: 1 // 0)
+    assert sorted(r.text for r in cut(files(spark, str(tmp_path))).collect()) == ["one", "two"]
+    for _ in range(2):
+        ingest(spark, str(tmp_path), str(tmp_path / "table"), str(tmp_path / "cp"), cut).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 2
+    p = spark.createDataFrame([("p-1", 0, "a"), ("p-1", 1, "b")], "paper string, pos int, prompt string")
+    replies = ask(p, lambda x: [v.upper() for v in x])
+    write_answers(replies, str(tmp_path / "out"))
+    assert [a.reply for a in answers(spark, str(tmp_path / "out")).first().answers] == ["A", "B"]
+    assert [r.reply for r in ask(p, lambda x: 1 // 0).collect()] == [None, None]
