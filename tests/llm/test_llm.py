@@ -139,3 +139,19 @@ def test_language(spark):
     held = [i for i in true if got[i].held_out]
     assert sum(got[i].lang_pred == true[i] for i in held) >= 0.95 * len(held)
     assert got[5000].lang_pred == got[5001].lang_pred == "und" and not any(got[i].rejected for i in true)
+
+
+def test_language_rejects_by_likeness_not_length(spark):
+    import random
+    from docloom.llm.langid import identify, keep_identified
+
+    r = random.Random(5)
+    made = lambda signs, n: " ".join("".join(r.choices(signs, k=r.randint(2, 9))) for _ in range(n))
+    scripts = ["abcdefghijklmnopqrstuvwxyz", *("".join(map(chr, range(*x))) for x in ((0x3B1, 0x3CA), (0x430, 0x450), (0x905, 0x93A), (0x4E00, 0x9FA5)))]
+    foreign = [(6000 + 10 * i + k, made(s, n), None) for i, s in enumerate(scripts) for k, n in enumerate((50, 1000, 5000))]
+    short = [(7000 + i, t, None) for i, t in enumerate(("Avec.", "This.", "Erö.", "De.", "Die.", "Para.", "The"))]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    every = docs.union(spark.createDataFrame(foreign + short, "doc_id long, text string, lang string"))
+    far = {x.doc_id for x in identify(every).collect() if x.rejected}
+    assert far == {f[0] for f in foreign}
+    assert {x.doc_id for x in keep_identified(every).collect()} == {x.doc_id for x in every.select("doc_id").collect()} - far
