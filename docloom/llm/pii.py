@@ -29,7 +29,7 @@ BASE = [
 ]
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}$"
 WIDE = [
-    ("local_phone", r"(?<![0-9+(.-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9.-])"),
+    ("local_phone", r"(?<![0-9+(.-])\(?[0-9]{2,4}(?:\)[\x20.-]?|[\x20.-])[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}(?![0-9]|[.-][0-9])"),
     ("identity", r"(?<![0-9.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("spoken_email", r"(?i:\b[a-z0-9._-]{1,40} ?[\[(]at[\])] ?[a-z0-9-]{1,40} ?[\[(]dot[\])] ?[a-z]{2,12}\b)"),
 ]
@@ -102,7 +102,12 @@ def examples(n: int, seed: int):
         rank = r.randrange(3)
         if rank == 0:
             sep = r.choice(" .-")
-            hit = (f"({d(3)}) {d(3)}-{d(4)}" if r.random() < 0.5 else f"{d(3)}{sep}{d(3)}{sep}{d(4)}") if yes else r.choice([f"{r.choice((19, 20))}{d(2)} {d(3)} {d(3)}", f"{d(2)} {d(3)}{d(3)}", f"{d(4)}.{d(4)}{d(4)}"])
+            year = f"{r.choice((19, 20))}{d(2)}"
+            pairs = lambda k: sep.join(d(2) for _ in range(k))
+            if yes:
+                hit = r.choice([f"({d(3)}) {d(3)}-{d(4)}", f"({d(3)}){d(3)}-{d(4)}", f"{d(3)}{sep}{d(3)}{sep}{d(4)}", pairs(5)])
+            else:
+                hit = r.choice([f"{year} {d(3)} {d(3)}", f"{d(2)} {d(3)}{d(3)}", f"{d(4)}.{d(4)}{d(4)}", f"{year}{sep}{d(2)}{sep}{d(2)}", f"{d(2)}{sep}{d(2)}{sep}{year}", pairs(r.randrange(3, 6))])
         elif rank == 1:
             hit = f"{d(3)}-{d(2)}-{d(4)}"
         else:

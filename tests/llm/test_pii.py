@@ -81,3 +81,13 @@ def test_held_out_accuracy():
     fresh = [(1 / (1 + math.exp(-(a * sum(pii.value(t, x) for t in trees) + b))) >= cut, y) for x, y in pii.examples(2000, 99)]
     chosen = [y for p, y in fresh if p]
     assert sum(chosen) >= 0.95 * len(chosen) and sum(chosen) >= 0.7 * sum(y for _, y in fresh)
+
+
+def test_numbers_before_punctuation(spark):
+    from docloom.llm.pii import find_personal_data
+
+    says = ["call me at 555-123-4567.", "phone (555) 123-4567.", "mobile 555.123.4567. Then", "contact (555)123-4567, or not", "tel. 01 23 45 67 89", "tel. 01-23-45-67-89!", "phone 555-123-4567-", "reach us (555-123-4567)."]
+    spans = ["11:23", "6:20", "7:19", "8:21", "5:19", "5:19", "6:18", "9:22"]
+    looks = ["version 1.2.3 of 2024-01-02.", "invoice no. 12.03.2024.", "page 12 34 56.", "phone 555-123-4567-8", "part 555.123.4567.8"]
+    got = {r.doc_id: r.spans for r in find_personal_data(spark.createDataFrame(list(enumerate(says + looks)), "doc_id long, text string")).collect()}
+    assert got == {i: f"local_phone:{x}" for i, x in enumerate(spans)} | {len(says) + i: "" for i in range(len(looks))}
