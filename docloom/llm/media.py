@@ -1,7 +1,7 @@
 """Media columns: an 8-bit WAV form, signature sniffing and validated reading.
 
-An Aho-Corasick automaton locates magic bytes, a validator per format confirms structure and length; the declared type
-is corrected to what was confirmed. Null text is an empty payload of 64 zero bytes; equal texts give equal values.
+An Aho-Corasick automaton locates magic bytes, validators for WAV and PNG confirm structure and
+length; other types are never confirmed, no declared type is read, and nothing is carved. Null text is an empty payload of 64 zero bytes; equal texts give equal values.
 """
 import hashlib
 import struct
