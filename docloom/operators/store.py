@@ -1,7 +1,10 @@
 """Content-addressed incremental storage: names, keys, listings, samples."""
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def content_id(content: Column) -> Column:
@@ -22,11 +25,28 @@ def output_name(stem: Column) -> Column:
 
 
 def range_names(df: DataFrame, text: str, order: str) -> DataFrame:
-    """A column range_name that a spreadsheet allows; repeated names get _1, _2 in the given order."""
+    """A column range_name that a spreadsheet allows; a name already given gets the first free of _1, _2 in the given order, so none is given twice.
+
+    Only names that are equal without their ends of _ and digits can meet; rows are named one after another within such a group, which goes to one task. Null texts have no name.
+    """
     base = F.regexp_replace(text, "[^A-Za-z0-9_]", "_")
     base = F.left(F.when(base.rlike("^[A-Za-z_]"), base).otherwise(F.concat(F.lit("Q_"), base)), F.lit(240))
-    n = F.row_number().over(Window.partitionBy("base").orderBy(order)) - 1
-    return df.withColumn("base", base).withColumn("n", n).withColumn("range_name", F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat_ws("_", "base", "n"))).drop("base", "n")
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t, sort_keys=[(order, "ascending")], null_placement="at_start"))
+        used, tried, names = set(), {}, []
+        for b in t.column("base").to_pylist():
+            name, i = b, tried.get(b, 0)
+            while b is not None and name in used:
+                i += 1
+                name = f"{b}_{i}"
+            tried[b] = i
+            used.add(name)
+            names.append(name)
+        return t.drop_columns(["base", "root"]).append_column("range_name", pa.array(names, pa.string()))
+
+    d = df.withColumn("base", base).withColumn("root", F.regexp_replace("base", "(_[0-9]+)+$", ""))
+    return d.groupBy("root").applyInArrow(run, StructType(df.schema.fields + [StructField("range_name", StringType())]))
 
 
 def index_summary(chunks: DataFrame, key: str, size: str, table: Column) -> DataFrame:

@@ -84,3 +84,18 @@ def test_query_set_grows(spark):
     for sf, ids in per.items():
         df = E.entry(spark) if sf == "sf0.001" else E.queries()["topk_cosine_twentieth"](spark, f"/root/testdata/{sf}")
         assert sorted((r.query_id, r.rk) for r in df.collect()) == sorted((i, k) for i in ids for k in (1, 2, 3))
+
+
+def test_range_names_are_unique(spark):
+    from docloom.operators.store import range_names
+
+    texts, used, want = ["a", "a", "a_1", "a", "a_1", "b", "b_1", "b", "9", "Q_9", "a_1_1", None], set(), []
+    for t in texts:
+        base = t if t is None or not t[0].isdigit() else f"Q_{t}"
+        name, i = base, 1
+        while t is not None and name in used:
+            name, i = f"{base}_{i}", i + 1
+        used.add(name)
+        want.append(name)
+    got = range_names(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), "t", "i").orderBy("i").collect()
+    assert [r.range_name for r in got] == want and len(set(want)) == len(want)
