@@ -16,9 +16,9 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.llm.folds import SPAN, clusters, joined, matches, span
+
 EXAMPLES, ROUNDS, RATE, PRECISION, AROUND = 4000, 24, 0.4, 0.98, 24
-SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
-SCORED = "array<struct<loss:double,start:int,rank:int,kind:string,end:int>>"
 # The base patterns, kinds in the order that ranks them. Each begins where a leftmost match can begin:
 # at the start of a run, or where the match before ended.
 BASE = [
@@ -56,24 +56,8 @@ def valid(kind: str, hit: Column) -> Column:
     return {"email": F.lit(True), "ip": hit.rlike(OCTETS), "card": F.when(n.between(14, 19), luhn(hit)).otherwise(False), "phone": n.between(10, 15)}[kind]
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """array of (start, end, hit), code points; what lies between the matches gives the offsets."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    both = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-
-    def step(acc, x):
-        s = acc["at"] + x["gap"]
-        e = s + F.length(x["hit"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("start"), e.alias("end"), x["hit"].alias("hit")))).alias("out"))
-
-    return F.when(F.size(hits) > 0, F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])).otherwise(none)
-
-
 def base_spans(text: Column, rank: int, kind: str, needs: str, pattern: str) -> Column:
-    ok = F.filter(matches(text, pattern), lambda m: valid(kind, m["hit"]))
-    out = F.transform(ok, lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+    out = F.transform(F.filter(matches(text, pattern), lambda m: valid(kind, m["hit"])), lambda m: span(m, rank, kind))
     return F.when(text.contains(needs), out).otherwise(F.array().cast(SPAN)) if needs else out
 
 
@@ -178,8 +162,7 @@ def wide_spans(text: Column, rank: int, kind: str, pattern: str) -> Column:
     trees, a, b, cut = model()
 
     def scored(m):
-        before = F.greatest(F.lit(0), m["start"] - AROUND)
-        x = feature_columns(rank, m["hit"], text.substr(before + 1, m["start"] - before))
+        x = feature_columns(rank, m["hit"], m["lead"])
         return F.struct(*[c.cast("double").alias(n) for c, n in zip(x, NAMES)], m["start"].alias("start"), m["end"].alias("end"))
 
     def score(x):
@@ -189,22 +172,29 @@ def wide_spans(text: Column, rank: int, kind: str, pattern: str) -> Column:
             s = s + F.when(x[NAMES[f]] > v, side(high)).otherwise(side(low))
         return F.struct((1 - 1 / (1 + F.exp(-(a * s + b)))).alias("loss"), x["start"].alias("start"), F.lit(len(BASE) + rank).alias("rank"), F.lit(kind).alias("kind"), x["end"].alias("end"))
 
-    return F.filter(F.transform(F.transform(matches(text, pattern), scored), score), lambda x: 1 - x["loss"] >= cut)
+    return F.filter(F.transform(F.transform(matches(text, pattern, 0, AROUND), scored), score), lambda x: 1 - x["loss"] >= cut)
 
 
-def joined(items: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(items), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+def chosen(own: Column, wide: Column) -> Column:
+    """Of candidates, those that overlap no base span and, best score first, no candidate taken before; decided within each cluster of overlapping spans."""
+    apart = lambda x: lambda y: (y["end"] <= x["start"]) | (x["end"] <= y["start"])
+    bare = lambda x: F.struct(*[x[c].alias(c) for c in ("start", "rank", "kind", "end")])
+    both = lambda x, loss: F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end"), loss.alias("loss"))
+    every = F.array_sort(F.concat(F.transform(own, lambda x: both(x, F.lit(-1.0))), F.transform(wide, lambda x: both(x, x["loss"]))))
+
+    def best(c: Column) -> Column:
+        base = F.filter(c, lambda x: x["loss"] < 0)
+        free = F.filter(c, lambda x: (x["loss"] >= 0) & F.forall(base, apart(x)))
+        order = F.array_sort(F.transform(free, lambda x: F.struct(x["loss"].alias("loss"), bare(x).alias("x"))))
+        return F.aggregate(order, F.array().cast(SPAN), lambda acc, y: F.when(F.forall(acc, apart(y["x"])), F.concat(acc, F.array(y["x"]))).otherwise(acc))
+
+    return F.when(F.size(wide) > 0, F.flatten(F.transform(clusters(every), best))).otherwise(F.array().cast(SPAN))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = [base_spans(F.col("text"), i, *k).alias(k[0]) for i, k in enumerate(BASE)]
     wide = [wide_spans(F.col("text"), i, *k) for i, k in enumerate(WIDE)]
-    d = d.select("doc_id", *base, F.array_sort(F.concat(*wide)).alias("wide"))
-    d = d.withColumn("own", F.concat(*[k[0] for k in BASE]))
-    apart = lambda x: lambda y: (y["end"] <= x["start"]) | (x["end"] <= y["start"])
-    free = F.filter("wide", lambda x: F.forall("own", apart(x)))
-    bare = lambda x: F.struct(*[x[c].alias(c) for c in ("start", "rank", "kind", "end")])
-    chosen = F.aggregate(free, F.array().cast(SPAN), lambda acc, x: F.when(F.forall(acc, apart(x)), F.concat(acc, F.array(bare(x)))).otherwise(acc))
-    d = d.withColumn("chosen", F.when(F.size("wide") > 0, chosen).otherwise(F.array().cast(SPAN)))
-    return d.select("doc_id", *[F.size(k[0]).cast("long").alias(f"n_{k[0]}") for k in BASE], F.sha2(joined(F.col("own")), 256).alias("base_sha256"), joined(F.concat("own", "chosen")).alias("spans"))
+    d = d.select("doc_id", *base, F.concat(*wide).alias("wide")).withColumn("own", F.concat(*[k[0] for k in BASE]))
+    d = d.withColumn("added", chosen(F.col("own"), F.col("wide")))
+    return d.select("doc_id", *[F.size(k[0]).cast("long").alias(f"n_{k[0]}") for k in BASE], F.sha2(joined(F.col("own")), 256).alias("base_sha256"), joined(F.concat("own", "added")).alias("spans"))

@@ -1,62 +1,74 @@
 """Secret scans with multipart linking, in built-in functions only.
 
-Base spans (assign, access, hex) always stand. Weak candidates (bare 40-character keys, endpoints) are reported only if
-a complementary part lies within the scope: a weak key near an access identifier, an endpoint near an access identifier
-or an assignment. Parts are cut into scope-sized bins and joined on document text digest, id and bin, so no pairs of a
-whole document are made. Null or empty text has no spans; repeated rows give equal rows.
+Base spans (assign, access, hex) always stand. Weak candidates (bare 40-character keys, endpoints) are reported only if a
+complementary part lies within SCOPE characters: a key near an access identifier, an endpoint near an access identifier
+or an assignment. The scope is a stretch of one document, so the interval join runs within its row: parts and candidates
+are sorted once, and running maxima give each candidate the part before it that reaches farthest and the next one after
+it. Texts are scanned once, nothing is shuffled, and time grows with the number of matches of a text, not its square.
+
+Null or empty text has no spans; very long texts are scanned whole; of equal spans each kind's stands; repeated rows give
+equal rows; ids, nulls among them, are passed through; scan_secrets reads no other column, whatever its name, and
+redact_secrets keeps them all; an empty table gives no rows.
 """
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.llm.folds import NONE, SPAN, joined, let, matches, pieces, running, span, stretch
+
 # The base patterns; kinds in the order that ranks them.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-BASE = [("assign", ASSIGN, 6), ("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24)]
-WEAK = [("key", r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])"), ("endpoint", r"https?://[A-Za-z0-9.-]+")]
-SCOPE = 400
+BASE = [("assign", ASSIGN, 6, 1), ("access", "AKIA[A-Z0-9]+", 20, 0), ("hex", "(?<![0-9a-f])[0-9a-f]{24,}+", 24, 0)]
+WEAK = [("key", r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])", 1, 0), ("endpoint", r"https?://[A-Za-z0-9.-]+", 1, 0)]
+PARTS = {"key": ["access"], "endpoint": ["assign", "access"]}
+SCOPE, SHIFT = 400, 1 << 31
+LINKS = "array<struct<weak:struct<start:int,rank:int,kind:string,end:int>,part:struct<start:int,rank:int,kind:string,end:int>>>"
+
+
+def spans(text: Column, rank: int, kind: str, pattern: str, least: int, group: int) -> Column:
+    return F.transform(F.filter(matches(text, pattern, group), lambda m: F.length(m["part"]) >= least), lambda m: span(m, rank, kind))
+
+
+def links(weak: Column, parts: Column) -> Column:
+    """(weak, part) for each weak candidate with a complementary part in scope: the one before that reaches farthest, else the next."""
 
+    def of(kind: str):
+        fits = lambda x: x["kind"].isin(*PARTS[kind])
+        far = lambda x, i, v: F.when(fits(x), v.cast("long") * SHIFT + i).otherwise(F.lit(NONE))
 
-def spans(text: Column, rank: int, kind: str, pattern: str, least: int) -> Column:
-    """Leftmost non-overlapping matches with code point offsets: what lies between the matches gives the offsets."""
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    hits = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
-    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.length) if kind == "assign" else hits
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>").alias("out"))
+        def join(e: Column) -> Column:
+            n = F.size(e)
+            before = running(F.transform(e, lambda x, i: far(x, i, x["end"])), F.greatest, NONE)
+            after = running(F.transform(F.reverse(e), lambda x, i: far(x, i, -x["start"])), F.greatest, NONE)
 
-    def step(acc, x):
-        s = acc["at"] + x["gap"]
-        item = F.struct(s.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (s + x["hit"]).alias("end"))
-        return F.struct((s + x["hit"]).alias("at"), F.when(x["size"] >= least, F.concat(acc["out"], F.array(item))).otherwise(acc["out"]).alias("out"))
+            def pick(x, i, r):
+                b, a = r["before"][i], r["after"][n - 1 - i]
+                prev, then = e[(b % SHIFT).cast("int")], e[(n - 1 - F.pmod(a, F.lit(SHIFT))).cast("int")]
+                part = F.when((b >= 0) & (prev["end"] + SCOPE >= x["start"]), prev).when((a > NONE) & (then["start"] <= x["end"] + SCOPE), then)
+                return F.when(x["kind"] == kind, F.struct(x.alias("weak"), part.alias("part")))
 
-    zipped = F.zip_with(F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"))), sizes, lambda a, n: F.struct(a["gap"].alias("gap"), a["hit"].alias("hit"), n.alias("size")))
-    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+            paired = let(F.struct(before.alias("before"), after.alias("after")), lambda r: F.transform(e, lambda x, i: pick(x, i, r)))
+            return F.filter(paired, lambda y: y["part"].isNotNull())
 
+        return let(F.array_sort(F.concat(F.filter(weak, lambda x: x["kind"] == kind), F.filter(parts, fits))), join)
 
-def joined(items: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(items), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return F.when((F.size(weak) > 0) & (F.size(parts) > 0), F.concat(*map(of, PARTS))).otherwise(F.array().cast(LINKS))
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """row (all columns of docs), doc_id, text, the base kinds' spans, own (all of those) and every (with the linked ones)."""
-    text = F.coalesce("text", F.lit(""))
-    d = docs.select(F.struct("*").alias("row"), "doc_id", text.alias("text"), F.sha2(text, 256).alias("digest"))
-    base = [spans(F.col("text"), i, k, p if k != "hex" else "(?<![0-9a-f])[0-9a-f]{24,}+", n).alias(k) for i, (k, p, n) in enumerate(BASE)]
-    weak = [spans(F.col("text"), 3 + i, k, p, 1) for i, (k, p) in enumerate(WEAK)]
-    d = d.select("row", "doc_id", "text", "digest", *base, F.concat(*weak).alias("weak"))
-    each = d.where(F.size("weak") > 0).select("doc_id", "digest", "weak", "assign", "access").dropDuplicates(["doc_id", "digest"])
-    low, high = lambda c: F.floor(F.col(f"{c}.start") / SCOPE), lambda c: F.floor(F.col(f"{c}.end") / SCOPE)
-    w = each.select("doc_id", "digest", F.explode("weak").alias("w")).withColumn("bin", F.explode(F.sequence(low("w") - 1, high("w") + 1)))
-    p = each.select("doc_id", "digest", F.explode(F.concat("assign", "access")).alias("p")).withColumn("bin", F.explode(F.sequence(low("p"), high("p")))).withColumnRenamed("doc_id", "other").withColumnRenamed("digest", "same")
-    near = (F.col("w.start") <= F.col("p.end") + SCOPE) & (F.col("p.start") <= F.col("w.end") + SCOPE)
-    fits = (F.col("p.kind") == "access") | ((F.col("w.kind") == "endpoint") & (F.col("p.kind") == "assign"))
-    on = F.col("doc_id").eqNullSafe(F.col("other")) & (F.col("digest") == F.col("same")) & (w["bin"] == p["bin"]) & near & fits
-    linked = w.join(p, on, "left_semi").groupBy("doc_id", "digest").agg(F.collect_set("w").alias("found")).withColumnsRenamed({"doc_id": "other", "digest": "same"})
-    r = d.join(linked, d["doc_id"].eqNullSafe(linked["other"]) & (d["digest"] == linked["same"]), "left")
-    r = r.withColumn("own", F.concat("assign", "access", "hex"))
-    return r.withColumn("every", F.concat("own", F.coalesce("found", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>"))))
+    """row (all columns of docs), doc_id, text, the base kinds' spans, own (all of those), links and every (own with the linked ones)."""
+    d = docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    base = [spans(F.col("text"), i, *k).alias(k[0]) for i, k in enumerate(BASE)]
+    weak = [spans(F.col("text"), len(BASE) + i, *k) for i, k in enumerate(WEAK)]
+    d = d.select("row", "doc_id", "text", *base, F.concat(*weak).alias("weak"))
+    d = d.withColumn("links", links(F.col("weak"), F.concat("assign", "access"))).withColumn("own", F.concat("assign", "access", "hex"))
+    return d.withColumn("every", F.concat("own", F.col("links.weak").cast(SPAN)))
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
+    """doc_id, counts and digest of base spans, all spans, and links as candidate>part."""
     r = _found(docs.select("doc_id", "text"))
-    return r.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k, _, _ in BASE], F.sha2(joined(F.col("own")), 256).alias("base_sha256"), joined(F.col("every")).alias("spans"))
+    place = lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])
+    told = F.array_join(F.transform("links", lambda x: F.concat_ws(">", place(x["weak"]), place(x["part"]))), ",")
+    return r.select("doc_id", *[F.size(k[0]).cast("long").alias(f"n_{k[0]}") for k in BASE], F.sha2(joined(F.col("own")), 256).alias("base_sha256"), joined(F.col("every")).alias("spans"), told.alias("links"))
 
 
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
@@ -65,14 +77,13 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     A column n_chars, where there is one, is counted anew for texts that change.
     """
     r = _found(docs)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc, x):
-        gap = F.col("text").substr(acc["at"] + 1, x["start"] - acc["at"])
-        out = F.when(x["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+    def masked(s: Column) -> Column:
+        reach = running(F.transform(s, lambda x: x["end"].cast("long")), F.greatest, 0)
+        gap = lambda p, r: lambda x, i: F.when(x["start"] >= r[i], F.concat(stretch(p, r[i], x["start"].cast("long")), F.lit(mark))).otherwise("")
+        rest = lambda p: stretch(p, F.array_max(s["end"]).cast("long"), F.length("text").cast("long"))
+        return let(pieces(F.col("text")), lambda p: F.concat(let(reach, lambda r: F.array_join(F.transform(s, gap(p, r)), "")), rest(p)))
 
-    end = lambda acc: F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text")))
-    r = r.withColumn("clean", F.when(F.size("every") > 0, F.aggregate(F.array_sort("every"), start, step, end)))
+    r = r.withColumn("clean", F.when(F.size("every") > 0, let(F.array_sort("every"), masked)))
     new = {"text": F.coalesce("clean", F.col("row")["text"]), "n_chars": F.coalesce(F.length("clean").cast("long"), F.col("row")["n_chars"]) if "n_chars" in docs.columns else None}
     return r.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
