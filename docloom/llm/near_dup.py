@@ -9,8 +9,8 @@ reaches the threshold is below MISS. Survivors are decided on full sets. The cha
 no bucket is (1 - 0.85^5)^24, below one in a million.
 
 Null and empty texts have no shingles and link with nothing; repeated rows and ties share a component; rows with a null
-id stand for themselves and link with nothing; an id that comes with several texts is one document, judged by one of
-them; other columns are not read; an empty table gives no rows.
+id stand for themselves and link with nothing; an id that comes with several texts is one document, judged by the one of
+them whose hash is largest, and all its rows get that one's result; other columns are not read; an empty table gives no rows.
 """
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from docloom.llm.components import components
 from docloom.llm.shared import small_batches, stored
 
-SHINGLE, BANDS, ROWS, BATCH, MISS, BLOCK, SKETCH, SLACK = 5, 24, 5, 20, 1e-4, 256, 512, 2
+SHINGLE, BANDS, ROWS, BATCH, MISS, BLOCK, SKETCH, SLACK = 5, 24, 5, 20, 1e-5, 256, 512, 2
 PERMS, CACHE = BANDS * ROWS, 300_000
 M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 MULT = np.random.default_rng(7).integers(0, 2**32, (PERMS, 1), dtype=np.uint32) | np.uint32(1)
@@ -87,7 +87,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n, digest of the set, sig; the last two null for empty sets."""
+    """doc_id, t (a hash of the text), n, digest of the set, sig; the last two null for empty sets."""
 
     def run(batches):
         import xxhash
@@ -100,9 +100,9 @@ def sketch(docs: DataFrame) -> DataFrame:
                 n.append(len(s))
                 dig.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sig.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "n", "digest", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "t", "n", "digest", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, sig binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, "doc_id long, t long, n long, digest binary, sig binary")
 
 
 def _banded(reps: DataFrame) -> DataFrame:
@@ -219,23 +219,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     small_batches(docs.sparkSession)
     d = stored(sketch(docs))
     known = d.where("n > 0 and doc_id is not null")
-    folded = known.groupBy("digest").agg(F.min("doc_id").alias("k"), F.count("*").alias("copies"))
-    rep = stored(folded)
-    first = rep.groupBy("k").agg(F.count("*").alias("sets"), F.min("digest").alias("digest"))
-    reps = d.join(first.withColumnRenamed("digest", "dig"), (d["doc_id"] == F.col("k")) & (d["digest"] == F.col("dig")), "left_semi")
-    reps = stored(reps.select(F.col("doc_id").alias("k"), "n", "sig").dropDuplicates(["k"]))
+    own = stored(known.groupBy(F.col("doc_id").alias("own")).agg(F.max(F.struct("t", "digest", F.col("n").alias("size"))).alias("x")).select("own", "x.*"))
+    rep = stored(own.groupBy("digest").agg(F.min("own").alias("k"), F.count("*").alias("copies")))
+    first = own.join(rep.select("k"), F.col("own") == F.col("k"), "left_semi").select("own", F.col("t").alias("own_t"))
+    reps = d.join(first, (d["doc_id"] == first["own"]) & (d["t"] == first["own_t"]))
+    reps = stored(reps.select(F.col("doc_id").alias("k"), "t", "n", "sig").dropDuplicates(["k"]))
     bands = stored(_banded(reps))
     lead = bands.groupBy("h").agg(F.min("k").alias("lead"), F.count("*").alias("m")).where("m > 1").select("h", "lead")
     shared = stored(bands.join(lead, "h"))
     pairs = stored(shared.where("k != lead").select(F.col("lead").alias("a"), F.col("k").alias("b")).distinct())
     ids = pairs.select("a").union(pairs.select("b")).distinct()
-    texts = stored(docs.where("text is not null").select(F.col("doc_id").alias("k"), "text").join(ids.hint("merge"), F.col("k") == F.col("a"), "left_semi")).dropDuplicates(["k"])
+    ids = ids.join(reps.select("k", "t"), F.col("a") == F.col("k")).select("a", F.col("t").alias("a_t"))
+    every = docs.where("text is not null").select(F.col("doc_id").alias("k"), "text")
+    texts = stored(every.join(ids.hint("merge"), (F.col("k") == F.col("a")) & (F.xxhash64("text") == F.col("a_t")), "left_semi")).dropDuplicates(["k"])
     links = stored(_linked(_pruned(pairs, reps, percent), texts, percent))
     comp = components(links)
     more = stored(_linked(stored(_rest(shared, comp, reps, texts, percent)), texts, percent))
     comp = stored(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)))
     groups = rep.where("copies > 1").select(F.col("digest").alias("dig"), "k")
-    r = d.select("doc_id", "n", "digest").join(groups, F.col("digest") == F.col("dig"), "left").withColumn("k", F.coalesce("k", "doc_id"))
-    r = r.join(comp, F.col("k") == F.col("id"), "left")
-    c = F.when(F.col("doc_id").isNull() | (F.col("n") == 0), F.col("doc_id")).otherwise(F.coalesce("component", "k"))
-    return r.select("doc_id", F.col("n").alias("n_shingles"), c.alias("component_id"), c.eqNullSafe(F.col("doc_id")).alias("kept"))
+    o = own.join(groups, F.col("digest") == F.col("dig"), "left").select("own", "size", F.coalesce("k", "own").alias("k"))
+    o = o.join(comp, F.col("k") == F.col("id"), "left").select("own", "size", F.coalesce("component", "k").alias("of"))
+    r = d.select("doc_id", "n").join(o, F.col("doc_id") == F.col("own"), "left")
+    c = F.coalesce("of", "doc_id")
+    return r.select("doc_id", F.coalesce("size", "n").alias("n_shingles"), c.alias("component_id"), c.eqNullSafe(F.col("doc_id")).alias("kept"))

@@ -58,4 +58,43 @@ def op7(spark, sf):
 
 
 QUERIES = {"op7_pii": op7, "op4_near_dup": op4, "op6_decontamination": op6, "op9_language_id": op9, "op8_warc": op8, "op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
-SQL = {}
+# Words are runs of anything but the six ASCII blanks.
+WORDS = r"coalesce(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'), [])"
+SQL = {
+    "op1_substring_dedup": f"""
+with w as (select doc_id, {WORDS.format('text')} as ws from documents),
+p as (select doc_id, generate_subscripts(g, 1) as s, unnest(g) as g from (select doc_id, list_transform(range(1, len(ws) - 18), lambda i: md5(array_to_string(ws[i:i + 19], ' '))) as g from w where len(ws) >= 20)),
+g as (select doc_id, s, row_number() over (partition by g order by doc_id, s) as nth from p),
+gone as (select distinct doc_id, unnest(range(s, s + 20)) as i from g where nth > 1),
+every as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as i from w),
+kept as (select e.doc_id, count(*) as n, string_agg(e.word, ' ' order by e.i) as words from every e anti join gone x on e.doc_id = x.doc_id and e.i = x.i group by 1)
+select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(words, '')) as kept_sha256 from w left join kept using (doc_id)""",
+    "op3_media": """
+with crc as (select list(list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by n) as crc from range(256) r(n)),
+d as (select doc_id, encode(coalesce(text, '')) as raw from documents),
+s as (select *, octet_length(raw)::bigint as n_bytes, greatest(64, (octet_length(raw) + 63) // 64 * 64)::bigint as n from d),
+p as (select *, hex(raw) || repeat('00', (n - n_bytes)::int) as h from s),
+t as (select *, list_transform(range(64), lambda i: ('0x' || right(h, 128)[2 * i + 1:2 * i + 2])::bigint) as tail from p),
+m as (select *, list_transform([n + 36, n], lambda v: printf('%02X%02X%02X%02X', v & 255, (v >> 8) & 255, (v >> 16) & 255, (v >> 24) & 255)) as size from t)
+select doc_id, n_bytes, n as payload_bytes, sha256(unhex(h)) as payload_sha256,
+  xor(list_reduce(list_prepend(4294967295, tail), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)::bigint as tail_crc32,
+  n + 44 as media_bytes, sha256(unhex('52494646' || size[1] || '57415645666D7420100000000100010040' || '1F0000401F00000100080064617461' || size[2] || h)) as media_sha256,
+  'audio/wav;rate=8000;samples=' || n || ';embedded=0' as feature
+from m, crc""",
+    "op4_near_dup": f"""
+with recursive w as (select doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as ws from documents),
+sh as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i: array_to_string(ws[i:i + 4], ' '))) as s from w where len(ws) > 0),
+n as (select doc_id, count(*) as n from sh group by 1),
+pair as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+link as (select a, b from pair join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+way as (select a, b from link union all select b, a from link),
+reach as (select doc_id as a, doc_id as b from n union select r.a, way.b from reach r join way on way.a = r.b)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(m, d.doc_id) as component_id, coalesce(m, d.doc_id) = d.doc_id as kept
+from documents d left join n using (doc_id) left join (select a, min(b) as m from reach group by 1) r on r.a = d.doc_id""",
+    "op8_warc": """
+with p as (select page_id, encode(coalesce(html, '')) as body from pages),
+f as (select *, min(page_id) over (partition by body) as first from p)
+select page_id, octet_length(body)::bigint as payload_bytes, sha256(body) as payload_digest,
+  case when octet_length(body) >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+  case when octet_length(body) >= 100 and page_id <> first then first end as refers_to from f""",
+}

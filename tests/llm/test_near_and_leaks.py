@@ -26,7 +26,7 @@ def shingle_sets(rows):
     return out
 
 
-def smallest_reachable(sets):
+def smallest_reachable(sets, percent=85):
     to, inv = {i: i for i in sets}, defaultdict(list)
 
     def root(x):
@@ -41,7 +41,7 @@ def smallest_reachable(sets):
                 shared[j] += 1
             inv[s].append(i)
         for j, c in shared.items():
-            if 100 * c >= 85 * (len(sets[i]) + len(sets[j]) - c):
+            if 100 * c >= percent * (len(sets[i]) + len(sets[j]) - c):
                 a, b = sorted((root(i), root(j)))
                 to[b] = a
     return {i: root(i) for i in sets}
@@ -69,6 +69,9 @@ def test_near_duplicates(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(sets[i]), c, c == i) for i, c in want.items()}
     odd = spark.createDataFrame([(1, "a b c", 1), (1, "a b c", 2), (None, "a b c", 3), (2, "A b c", 4)], f"{DOCS}, n long")
     assert sorted(map(tuple, near_duplicates(odd).collect()), key=repr) == sorted([(1, 1, 1, True), (1, 1, 1, True), (None, 1, None, True), (2, 1, 1, False)], key=repr)
+    twice = spark.createDataFrame([(3, "a b c d e f"), (5, "a b c d e f"), (5, "u v w x y z"), (5, None), (6, None)], DOCS)
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(twice).collect()}
+    assert got in [{(3, 2, 3, True), (5, 2, c, c == 5), (6, 0, 6, True)} for c in (3, 5)]
     assert near_duplicates(spark.createDataFrame([], DOCS)).collect() == []
 
 
@@ -115,7 +118,7 @@ def test_pipeline(spark):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
-    comp = smallest_reachable(shingle_sets([(i, r.text) for i, r in rows.items()]))
+    comp = smallest_reachable(shingle_sets([(i, r.text) for i, r in rows.items()]), 80)
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     want = {i for i, r in rows.items() if comp[i] == i and not any(b in r.text for b in items)}
     out = P.run(spark, SF).collect()
