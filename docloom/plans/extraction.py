@@ -63,7 +63,7 @@ def q_resolve(spark, sf):
     ids = F.array(*map(F.lit, LANGS))
     form = F.expr("case doc_id % 5 when 0 then lang when 1 then upper(lang) when 2 then concat('[\"', lang, '\", ''xx'']') when 3 then chr(65 + int(doc_id % 7)) else concat('It is ', lang, '.') end")
     d = _t(spark, sf, "documents").select("doc_id", form.alias("reply"))
-    return d.select("doc_id", F.array_join(C.resolve_many(F.col("reply"), ids), "; ").alias("answer"))
+    return d.select("doc_id", F.array_join(C.resolve_many(F.coalesce(C.listed(F.col("reply")), F.array("reply")), ids), "; ").alias("answer"))
 
 
 def q_answer(spark, sf):

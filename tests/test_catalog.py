@@ -28,25 +28,50 @@ def test_equal(spark, name):
 
 
 def test_chunks(spark):
-    from docloom.operators.sections import chunks, pack, sentences, split_table, words
+    from docloom.operators.sections import chunks, pack, paragraph_rows, sentence_rows, split_table, words
 
-    assert sentences("Seen by Smith et al. in 1999. See J. Doe. and on. New one!") == ["Seen by Smith et al. in 1999.", "See J. Doe. and on.", "New one!"]
-    text = " ".join(f"S{i} {'w ' * (i % 9)}end." for i in range(120)) + " " + "x" * 50 + " " + "long " * 90
+    says = lambda t: [r.sentence for r in sentence_rows(paragraph_rows(spark.createDataFrame([(1, t)], "k int, text string"), ["k"]), ["k", "par"]).orderBy("par", "sent").collect()]
+    assert says("Seen by Smith et al. in 1999. See J. Doe. and on. New one!\r\n\t\r\nlower\tstart") == ["Seen by Smith et al. in 1999.", "See J. Doe. and on.", "New one!", "lower start"]
+    text = [f"S{i} {'w ' * (i % 9)}end." for i in range(120)] + ["x" * 50, "long " * 90]
     out = pack(text, 40, 10)
-    assert all(words(c) <= 40 for c in out) and {w for c in out for w in c.split()} == set(text.split())
-    assert pack("aaaa" * 30, 32, 0, len) == ["a" * n for n in (30, 30, 30, 30)] and pack("") == []
+    assert all(words(c) <= 40 for c in out) and {w for c in out for w in c.split()} == set(" ".join(text).split())
+    # A blob is cut by halves, each time of the rest.
+    assert pack(["a" * 120], 32, 0, len) == ["a" * n for n in (30, 22, 17, 25, 26)] and pack([]) == []
+    assert pack([f"s{i} a b c d e f g h i" for i in range(9)], 40, 12) == [" ".join(f"s{i} a b c d e f g h i" for i in r) for r in (range(4), range(3, 7), range(6, 9))]
+    assert pack(["a b"] * 30, 50, 0, words, 20) == ["a b " * 9 + "a b"] * 3
     assert split_table("|h|\n|-|\n|a b|\n|c d|", 4) == ["|h|\n|-|\n|a b|", "|h|\n|-|\n|c d|"]
     md = "intro\n# A\nFirst. Second.\n| x |\n|-|\n| 1 |\nThird.\n### B\ndeep\n## C\nback\n# D\n\nend"
     got = [tuple(r) for r in chunks(spark.createDataFrame([(1, md), (2, None), (3, "")], "paper_id long, text string")).orderBy("paper_id", "chunk_id").select("chunk_id", "section", "is_table", "embed_text").collect()]
     assert got == [(0, "", False, "intro"), (1, "A", False, "[A] First. Second. Third."), (2, "A", True, "[A] | x |\n|-|\n| 1 |"), (3, "A > B", False, "[A > B] deep"), (4, "A > C", False, "[A > C] back"), (5, "D", False, "[D] end")]
 
 
+def test_packing_is_greedy(spark):
+    """Against one item at a time, for random sentences and both kinds of count."""
+    import random
+    from docloom.operators.sections import ranges
+
+    r = random.Random(1)
+    for _ in range(300):
+        n = [r.randrange(1, 30) for _ in range(r.randrange(1, 25))]
+        budget, overlap, want, at = r.randrange(30, 60), r.randrange(0, 30), [], 0
+        for i in range(1, len(n) + 1):
+            if i < len(n) and sum(n[at : i + 1]) <= budget:
+                continue
+            want.append((at, i))
+            fit = [s for s in range(at, i) if sum(n[s:i]) <= overlap and sum(n[s : i + 1]) <= budget]
+            longest = [s for s in range(at, i) if sum(n[s:i]) <= overlap]
+            at = longest[0] if longest and longest[0] in fit else i
+        assert list(ranges(len(n), lambda a, b: sum(n[a:b]), budget, overlap)) == want
+
+
 def test_replies(spark):
     from pyspark.sql import functions as F
     from docloom.operators.choices import answer
 
     ids = ["F00-F99: Mental", "G00: Nerves", "1000-10000", "Unknown from this paper"]
     want = [('["F"]', "choices", [ids[0]]), ("['Unknown from this paper']", "choices", [ids[3]]), ('["C", "g", "zz"]', "choices", [ids[2], ids[1]]), ("It is 1000-10000, I think", "choices", [ids[2]]), ("no idea", "abstain", []), (None, "error", None)]
+    # An abstention wins over the choice of that name, a list decides alone, a bare letter is no choice in prose, JSON comes before mentions.
+    want += [("Unknown from this paper.", "abstain", []), ('["zz"] G00: Nerves', "abstain", []), ("A", "abstain", []), ('Not G00: Nerves\n```json\n{"id": "1000-10000"}\n```', "choices", [ids[2]]), ('"1000-10000"', "choices", [ids[2]]), ("It is G00.", "choices", [ids[1]]), ('{"answers": ["G00"]}', "choices", [ids[1]]), ("[true] 1000-10000", "choices", [ids[2]]), (r"['G00: Nerves',]", "choices", [ids[1]]), ("[]", "abstain", []), ("\u00a0unknown FROM this paper..\n", "abstain", [])]
     df = spark.createDataFrame([(i, w[0]) for i, w in enumerate(want)], "i int, reply string")
     got = [(r.reply, r.a.kind, r.a.ids) for r in df.select("i", "reply", answer(F.col("reply"), F.array(*map(F.lit, ids))).alias("a")).orderBy("i").collect()]
     assert got == want
