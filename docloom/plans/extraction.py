@@ -31,8 +31,8 @@ def q_references(spark, sf):
 
 
 def q_fragments(spark, sf):
-    lines = F.split("text", "\n", -1)
-    return _t(spark, sf, "documents").select("doc_id", F.size(F.filter(lines, T.is_fragment)).cast("long").alias("dropped"), F.sha2(T.drop_fragments(F.col("text")), 256).alias("digest"))
+    d = _t(spark, sf, "documents").select("doc_id", T.sifted(F.col("text")).alias("x"))
+    return d.select("doc_id", F.col("x.dropped").alias("dropped"), F.sha2("x.text", 256).alias("digest"))
 
 
 def q_boilerplate(spark, sf):
@@ -137,7 +137,7 @@ _SECTIONS = f"{PAPERS}, {_LINES}, {_LEVEL}, {_STACK}, sec as (select paper_id, p
 _KAPPA = " union all ".join(f"select '{a}' as rater1, '{b}' as rater2, count(*) as n, avg(({a} = {b})::int) as po, avg({a}::int) as a, avg({b}::int) as b from r" for a, b in PAIRS)
 SQL = {
     "clean_glyphs": r"select doc_id, regexp_replace(regexp_replace(regexp_replace(replace(nfc_normalize(replace(text, chr(173), '')), chr(160), ' '), '[ \t]{2,}', ' ', 'g'), '([a-z])-\n([a-z])', '\1\2', 'g'), '([a-z])-\n([a-z])', '\1\2', 'g') as text from documents",
-    "cut_references": "select doc_id, length(x) as n_chars, sha256(x) as digest from (select doc_id, case when length(text) + 1 >= floor((length(text) + 27) * 0.3) then text else text || chr(10) || '## References' || chr(10) || '[1] A paper.' end as x from documents)",
+    "cut_references": "select doc_id, length(x) as n_chars, sha256(x) as digest from (select doc_id, case when length(text) + 1 >= floor((length(text) + 27) * 0.3) then regexp_replace(text, '\\s+$', '') || chr(10) else text || chr(10) || '## References' || chr(10) || '[1] A paper.' end as x from documents)",
     "drop_fragments": f"select doc_id, count(*) filter ({_FRAGMENT}) as dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not {_FRAGMENT}), '')) as digest from (select *, regexp_replace(line, '^\\s+|\\s+$', '', 'g') as s from (select doc_id, generate_subscripts(l, 1) as pos, unnest(l) as line from (select doc_id, string_split(text, chr(10)) as l from documents))) group by 1",
     "drop_boilerplate": f"with l as (select source, doc_id, generate_subscripts(l, 1) as pos, unnest(l) as line from (select source, doc_id, string_split(text, chr(10)) as l from documents)), k as (select *, {_KEY.format('trim(line)')} as key from l), n as (select source, count(distinct doc_id) as n from documents group by 1), f as (select source, key from (select source, key, count(distinct doc_id) as pages from k where key <> '' and length(trim(line)) between 1 and 200 group by 1, 2) join n using (source) where n >= 3 and pages >= greatest(2, floor(0.04 * n)::int)) select source as paper_id, doc_id as page_no, coalesce(sum(length(line) + 1) filter (length(trim(line)) > 200 or not exists (select 1 from f where f.source = k.source and f.key = k.key)) - 1, 0)::bigint as n_chars from k group by 1, 2",
     "section_paths": f"with {_SECTIONS} select paper_id, pos, section_id::bigint as section_id, section from sec",
@@ -145,7 +145,7 @@ SQL = {
     "token_count": r"select doc_id, len(regexp_extract_all(text, '[^ \t\n\v\f\r]+')) as n_tokens from documents",
     "resolve_choices": "select doc_id, case when doc_id % 5 in (0, 1, 2) then v.name when doc_id % 5 = 3 then w.name else '' end as answer from documents join (values ('en', 'en: English'), ('de', 'de: Deutsch'), ('fr', 'fr: Français'), ('es', 'es: Español')) v(l, name) on l = lang join (values (0, 'en: English'), (1, 'de: Deutsch'), (2, 'fr: Français'), (3, 'de: Deutsch'), (4, ''), (5, 'fr: Français'), (6, '')) w(i, name) on i = doc_id % 7",
     "answer_kinds": "select doc_id, case doc_id % 4 when 1 then 'abstain' when 3 then 'error' else 'choices' end as kind, case when doc_id % 4 in (0, 2) then lang else '' end as answer from documents",
-    "prompt_context": "select conv_id, 'Who speaks?' || chr(10) || 'user' || chr(10) || 'assistant' || chr(10) || string_agg('CHUNK ' || rk || ': ' || text, repeat(chr(10), 3) order by turn) as prompt from (select *, row_number() over (partition by conv_id order by turn) as rk from conversations) group by 1",
+    "prompt_context": "select conv_id, 'Who speaks?' || chr(10) || '[''user'', ''assistant'']' || chr(10) || string_agg('CHUNK ' || rk || ': ' || text, repeat(chr(10), 3) order by turn) as prompt from (select *, row_number() over (partition by conv_id order by turn) as rk from conversations) group by 1",
     "unanswered": "select doc_id as paper_id, question from documents d, (values ('Q1'), ('Q2')) q(question) where not exists (select 1 from labels l where l.doc_id = d.doc_id)",
     "rater_sheet": "select doc_id, 'quality' as question, coalesce(quality::varchar, '') as cell from labels union all select doc_id, 'toxic', coalesce(toxic::varchar, '') from labels",
     "pairwise_kappa": f"with r as (select quality = 1 as quality, toxic = 1 as toxic, doc_id % 2 = 1 as odd from labels) select rater1, rater2, n, round(po, 6) as agreement, round((po - pe) / nullif(1 - pe, 0), 6) as kappa from (select *, a * b + (1 - a) * (1 - b) as pe from ({_KAPPA}))",
