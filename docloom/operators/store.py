@@ -64,15 +64,57 @@ def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))).limit(n).orderBy(key)
 
 
-def build_incremental(inputs: DataFrame, path: str, key: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Computes what the table at path lacks, appends it, and gives the whole table."""
-    spark = inputs.sparkSession
-    try:
+def head(df: DataFrame, key: str, n: int | None) -> DataFrame:
+    """The first n rows in the order of key; all of them for a null n."""
+    return df.orderBy(key) if n is None else df.orderBy(key).limit(n)
+
+
+def listing(papers: DataFrame, chunks: DataFrame) -> DataFrame:
+    """papers(paper_id, filename, parser, n_pages), chunks(paper_id, index_key, …): per paper its parsers, pages, number of indexes and file."""
+    n = chunks.groupBy("paper_id").agg(F.count_distinct("index_key").alias("indexes"))
+    g = papers.groupBy("paper_id").agg(F.array_join(F.array_sort(F.collect_set("parser")), ", ").alias("parsers"), F.max("n_pages").alias("n_pages"), F.min("filename").alias("filename"))
+    return g.join(n, "paper_id", "left").select("paper_id", "parsers", "n_pages", F.coalesce("indexes", F.lit(0)).alias("indexes"), "filename")
+
+
+def preview(chunks: DataFrame, key: str, n: int = 3, chars: int = 200) -> DataFrame:
+    """The first n chunks per key, their texts cut to chars."""
+    w = Window.partitionBy(key).orderBy("chunk_id")
+    return chunks.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n).select(key, "chunk_id", F.left("text", F.lit(chars)).alias("text"))
+
+
+def upsert_names(have: DataFrame, new: DataFrame) -> DataFrame:
+    """Named ranges (name, target): those of have whose name, in any case, new does not bring, and all of new."""
+    return have.join(new.select(F.lower("name").alias("n")).distinct(), F.lower(have["name"]) == F.col("n"), "left_anti").unionByName(new)
+
+
+def grid(papers: DataFrame, questions: DataFrame) -> DataFrame:
+    """A cell per paper and question; the question list is small by nature and within Spark's own threshold."""
+    return papers.crossJoin(questions)
+
+
+def _exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def build_incremental(inputs: DataFrame, path: str, key: str | list[str], compute: Callable[[DataFrame], DataFrame], use_cache: bool = True) -> DataFrame:
+    """Computes what the table at path lacks, appends it, and gives the rows of inputs' keys.
+
+    key names all that a row's content depends on, such as paper_id and index_key: other settings are other keys and do
+    not find each other's rows. use_cache=False computes all of inputs anew in place of the rows that the table has.
+    """
+    spark, keys = inputs.sparkSession, [key] if isinstance(key, str) else key
+    asked = inputs.select(*keys).distinct()
+    if not _exists(spark, path):
+        compute(inputs).write.parquet(path)
+    elif use_cache:
+        compute(inputs.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")).write.mode("append").parquet(path)
+    else:
         have = spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        have = None
-    new = inputs if have is None else inputs.join(have.select(key).distinct(), key, "left_anti")
-    compute(new).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        compute(inputs).unionByName(have.join(asked, keys, "left_anti"), allowMissingColumns=True).write.parquet(f"{path}.new")
+        old, new = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, f"{path}.new"))
+        fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(old, True)
+        fs.rename(new, old)
+        spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path).join(asked, keys, "left_semi")
