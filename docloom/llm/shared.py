@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset, as in tests, a temporary folder."""
+    """spark.checkpoint.dir of the session; where it is unset, a temporary folder, on a local master only: elsewhere executors would not see it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set")
         at = f"file://{tempfile.mkdtemp(prefix='docloom-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at

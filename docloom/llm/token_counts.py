@@ -4,6 +4,7 @@ Each text is split into words and those into pre-tokens; a task counts the piece
 them for each distinct word once and joins those counts to the word frequencies of the document. The join is a dictionary in the task: no shuffle. Null text counts as empty; repeated
 rows and null ids keep their rows; other columns are not read.
 """
+import json
 import operator
 from collections import Counter
 
@@ -13,6 +14,19 @@ from pyspark.sql import DataFrame, functions as F
 CACHE = 300_000  # entries after which the memo starts anew; results do not depend on it
 
 
+def parts(path: str) -> tuple[str, list[str]]:
+    """The pre-token pattern and the special strings of a vocabulary file; one of another build is refused, as its counts would be wrong."""
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    pre = (d.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split, extra = pre[0] if pre else {}, d.get("added_tokens", [])
+    blanks = [x for x in (d.get("normalizer") or {}).get("normalizers", []) if x["type"] == "Replace" and x["pattern"] == {"Regex": "\\s+"} and x["content"] == " "]
+    fits = [x["type"] for x in pre] == ["Split", "ByteLevel"] and split["behavior"] == "Removed" and split["invert"] and "Regex" in split["pattern"] and not pre[1]["add_prefix_space"]
+    if not fits or not blanks or d["model"]["type"] != "BPE" or any(x["lstrip"] or x["rstrip"] or x["single_word"] for x in extra):
+        raise ValueError(f"{path} is built in a way that is not known here")
+    return split["pattern"]["Regex"], sorted((x["content"] for x in extra), key=len, reverse=True)
+
+
 class _Counter:
     def __init__(self, path):
         import regex
@@ -21,9 +35,9 @@ class _Counter:
         tok = Tokenizer.from_file(path)
         self.normal, self.bpe = tok.normalizer, tok.model
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        # The pre-token pattern and special strings of the vocabulary file.
-        self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.special = regex.compile(r"<\|startoftext\|>|<\|endoftext\|>")
+        pattern, special = parts(path)
+        self.piece = regex.compile(pattern)
+        self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
         self.memo, self.words = {}, {}
 
     def normalised(self, words):
