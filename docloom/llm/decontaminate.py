@@ -8,7 +8,7 @@ into a stretch of the document. Steps in a task, over every window of the whole
 2. The others are embedded by WALKS random walks (CGK), which turn edit distance into Hamming distance, and compared
    with the item's embedding in TABLES samples of BITS positions a walk, drawn from the steps before the item's walk
    ends; one equal sample makes a candidate. The two ends are padded by different signs, so padding never agrees. Of
-   windows n // 5 edits away at least 99 in 100 pass, of unrelated windows under 5 (measured for items of 5 to 200
+   windows n // 5 edits away at least 995 in 1000 pass, of unrelated windows under 5 (measured for items of 5 to 200
    words; a test holds it).
 3. Candidates are decided by exact edit distance against every stretch near the window.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docloom.llm.near_dup import Words
 
-EDITS, WALKS, TABLES, BITS, BLOCK_BYTES = 5, 8, 12, 2, 4_000_000
+EDITS, WALKS, TABLES, BITS, BLOCK_BYTES = 5, 16, 32, 3, 4_000_000
 WORD = re.compile(r"[^\W_]+")
 SCHEMA = "doc_id long, item_id long, distance int, start_word int, n_words int"
 ITEM_END, WINDOW_END = np.uint64(0), np.uint64(1)
@@ -61,12 +61,17 @@ def embed(windows: np.ndarray, walk: int, steps: int, end: np.uint64) -> tuple[n
 class Samples:
     """An item's embeddings and the places compared: BITS of them a sample, all before the item's walk ends."""
 
-    def __init__(self, item: np.ndarray):
-        draw, self.walks = np.random.default_rng(len(item)), []
-        for v in range(WALKS):
-            e, end = embed(item[None, :], v, 3 * len(item), ITEM_END)
-            picks = draw.integers(0, end[0], (TABLES, BITS))
-            self.walks.append((picks, e[0][picks], int(picks.max()) + 1))
+    def __init__(self, walks: list):
+        draw, self.walks = np.random.default_rng(len(walks[0][0])), []
+        for e, end in walks:
+            picks = draw.integers(0, end, (TABLES, BITS))
+            self.walks.append((picks, e[picks], int(picks.max()) + 1))
+
+    @classmethod
+    def of(cls, items: list[np.ndarray]) -> list["Samples"]:
+        """For items of one length, which walk together."""
+        walks = [embed(np.stack(items), v, 3 * len(items[0]), ITEM_END) for v in range(WALKS)]
+        return [cls([(e[i], end[i]) for e, end in walks]) for i in range(len(items))]
 
     def alike(self, windows: np.ndarray) -> np.ndarray:
         """Which rows agree with the item in a whole sample."""
@@ -104,9 +109,14 @@ class Index:
             k = n // EDITS
             q = min(3, -(-(n - k) // (k + 1)))
             me = len(self.items)
-            self.items.append((item_id, h, k, max(1, n - q + 1 - k * q), Samples(h)))
+            self.items.append((item_id, h, k, max(1, n - q + 1 - k * q)))
             for off, g in enumerate(grams(h, q).tolist()):
                 self.grams.setdefault(q, {}).setdefault(g, []).append((me, off))
+        self.samples, lengths = {}, {}
+        for me, x in enumerate(self.items):
+            lengths.setdefault(len(x[1]), []).append(me)
+        for same in lengths.values():
+            self.samples.update(zip(same, Samples.of([self.items[me][1] for me in same])))
         self.known = {q: np.array(sorted(g), np.uint64) for q, g in self.grams.items()}
 
     def starts(self, h):
@@ -119,7 +129,7 @@ class Index:
                 for me, off in self.grams[q][int(x[p])]:
                     found.setdefault(me, []).append((p - off, p))
         for me, hits in found.items():
-            _, _, k, need, _ = self.items[me]
+            _, _, k, need = self.items[me]
             diag = np.array(sorted(hits))
             lo, hi = np.searchsorted(diag[:, 0], diag[:, 0] - k), np.searchsorted(diag[:, 0], diag[:, 0] + k, "right")
             keep = np.unique(diag[hi - lo >= need, 0])
@@ -130,7 +140,7 @@ class Index:
         """Starts of windows that agree with the item in one sample of an embedding."""
         at = starts[:, None] + np.arange(len(self.items[me][1]))
         w = np.where((at >= 0) & (at < len(h)), h[np.clip(at, 0, len(h) - 1)], WINDOW_END)
-        return starts[self.items[me][4].alike(w)]
+        return starts[self.samples[me].alike(w)]
 
     def matches(self, text):
         h = hashed(text, self.words)

@@ -39,7 +39,7 @@ def test_lsh_tells_apart(voc):
         near = far = 0
         for _ in range(200):
             a, b = r.randrange(len(voc) - n), r.randrange(len(voc) - n)
-            s = Samples(hashes(voc[a : a + n]))
+            s = Samples.of([hashes(voc[a : a + n])])[0]
             near += s.alike(hashes((edited(voc[a : a + n], n // 5, r, voc) + r.choices(voc, k=n))[:n])[None, :])[0]
             far += voc[a : a + n] != voc[b : b + n] and s.alike(hashes(voc[b : b + n])[None, :])[0]
         assert near >= 0.97 * 200 and far < 0.05 * 200, (n, near, far)
