@@ -6,7 +6,7 @@ into a stretch of the document. Steps in a task, over every window of the whole
 1. Item-sized windows that share too few word q-grams with the item to lie within that distance are ruled out by the
    q-gram lemma (exact, no loss); q is at most 3 and shorter where the pigeonhole principle asks it.
 2. The others are embedded by WALKS random walks (CGK), which turn edit distance into Hamming distance, and compared
-   with the item's embedding in TABLES samples of BITS positions a walk, drawn from the steps before the item's walk
+   with the item's embedding in TABLES samples of BITS positions a walk (one less for items of LONG words or more), drawn from the steps before the item's walk
    ends; one equal sample makes a candidate. The two ends are padded by different signs, so padding never agrees. Of
    windows n // 5 edits away at least 995 in 1000 pass, of unrelated windows under 5 (measured for items of 5 to 200
    words; a test holds it).
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docloom.llm.near_dup import Words
 
-EDITS, WALKS, TABLES, BITS, BLOCK_BYTES = 5, 16, 32, 3, 4_000_000
+EDITS, WALKS, TABLES, BITS, LONG, BLOCK_BYTES = 5, 16, 24, 3, 150, 4_000_000
 WORD = re.compile(r"[^\W_]+")
 SCHEMA = "doc_id long, item_id long, distance int, start_word int, n_words int"
 ITEM_END, WINDOW_END = np.uint64(0), np.uint64(1)
@@ -64,7 +64,7 @@ class Samples:
     def __init__(self, walks: list):
         draw, self.walks = np.random.default_rng(len(walks[0][0])), []
         for e, end in walks:
-            picks = draw.integers(0, end, (TABLES, BITS))
+            picks = draw.integers(0, end, (TABLES, BITS - (len(e) >= 3 * LONG)))
             self.walks.append((picks, e[picks], int(picks.max()) + 1))
 
     @classmethod
