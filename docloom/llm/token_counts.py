@@ -1,18 +1,25 @@
 """Token counts without token ids.
 
-Each text is split into words and those into pre-tokens; a task counts the pieces of each distinct pre-token once, sums
-them for each distinct word once and joins those counts to the word frequencies of the document. The join is a dictionary in the task: no shuffle. Null text counts as empty; repeated
-rows and null ids keep their rows; other columns are not read.
+Distinct pre-tokens of all texts are gathered with their frequencies, each is counted in pieces once, and the counts are
+joined to the pre-token frequencies of each document and summed. The join has two parts with one result: pre-tokens of
+the most frequent classes, at most `head` of them, go to every task as a dictionary; all others are joined by a shuffle,
+where none is frequent. Keys longer than LONG bytes are replaced by a digest, so the dictionary has at most head * LONG
+bytes. Null text counts as empty; repeated rows and null ids keep their rows; other columns are not read; an empty table
+gives none. Of a very long text one copy and its frequencies are in memory.
 """
+import hashlib
 import json
 import operator
 from collections import Counter
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-CACHE = 300_000  # entries after which the memo starts anew; results do not depend on it
+from docloom.llm.shared import stored
 
+CACHE = 300_000  # entries after which the memo starts anew; results do not depend on it
+HEAD, LONG, CUT = 300_000, 64, 50_000  # most pre-tokens sent to every task, their bytes, rows of a batch
 
 def parts(path: str) -> tuple[str, list[str]]:
     """The pre-token pattern and the special strings of a vocabulary file; one of another build is refused, as its counts would be wrong."""
@@ -27,18 +34,17 @@ def parts(path: str) -> tuple[str, list[str]]:
     return split["pattern"]["Regex"], sorted((x["content"] for x in extra), key=len, reverse=True)
 
 
-class _Counter:
+class _Splitter:
+    """Pre-tokens of what stands between two blanks: none crosses a blank, and neither does the normaliser."""
+
     def __init__(self, path):
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
-        self.normal, self.bpe = tok.normalizer, tok.model
-        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.normal = Tokenizer.from_file(path).normalizer
         pattern, special = parts(path)
         self.piece = regex.compile(pattern)
         self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
-        self.memo, self.words = {}, {}
 
     def normalised(self, words):
         """Printable words hold no blank, so they are normalised in one text; the others one by one."""
@@ -46,38 +52,117 @@ class _Counter:
         out = dict(zip(plain, self.normal.normalize_str(" ".join(plain)).split(" ")))
         return [out[w] if w in out else self.normal.normalize_str(w) for w in words]
 
-    def add(self, words):
-        """Tokens of what stands between two blanks: no pre-token crosses a blank, and neither does the normaliser."""
-        whole = [self.special.split(w) for w in words]
-        parts = list(dict.fromkeys(p for ps in whole for p in ps))
-        pieces = dict(zip(parts, map(self.piece.findall, self.normalised(parts))))
-        memo = self.memo
-        if len(memo) > CACHE:
-            memo.clear()
-        for x in {x for xs in pieces.values() for x in xs}.difference(memo):
+    def split(self, words):
+        """For each word the number of its special strings and its pre-tokens."""
+        whole = [self.special.split(w.decode()) for w in words]
+        every = list(dict.fromkeys(p for ps in whole for p in ps))
+        pieces = dict(zip(every, map(self.piece.findall, self.normalised(every))))
+        return [(len(ps) - 1, pieces[ps[0]] if len(ps) == 1 else [x for p in ps for x in pieces[p]]) for ps in whole]
+
+
+def _words(text):
+    """bytes.split knows the ASCII blanks only; other blanks stay inside a word and are left to the normaliser."""
+    return text.encode().split()
+
+
+def _key(x):
+    return x if len(x) <= LONG // 4 or len(raw := x.encode()) <= LONG else "\0" + hashlib.blake2b(raw, digest_size=16).hexdigest()
+
+
+def pre_tokens(docs: DataFrame, path: str) -> DataFrame:
+    """(key, freq, pieces) of each distinct pre-token of all texts."""
+
+    def gather(batches):
+        splitter, freq = _Splitter(path), Counter()
+
+        def flush():
+            words, out = list(freq), Counter()
+            for i in range(0, len(words), CUT):
+                part = words[i : i + CUT]
+                for w, (_, xs) in zip(part, splitter.split(part)):
+                    for x in xs:
+                        out[x] += freq[w]
+            freq.clear()
+            xs, ns = list(out), list(out.values())
+            for i in range(0, len(xs), CUT):
+                yield pa.RecordBatch.from_arrays([pa.array(xs[i : i + CUT], pa.string()), pa.array(ns[i : i + CUT], pa.int64())], ["x", "freq"])
+
+        for b in batches:
+            for t in b.column(0):
+                freq.update(_words(t.as_py()))
+                if len(freq) > CACHE:
+                    yield from flush()
+        yield from flush()
+
+    def measure(batches):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        bpe, plain = Tokenizer.from_file(path).model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        for b in batches:
+            xs = b.column(0).to_pylist()
             # printable ASCII is its own byte-level form
-            memo[x] = len(self.bpe.tokenize(x if x.isascii() and x.isprintable() else self.bytes(x)[0][0]))
-        return [len(ps) - 1 + sum(memo[x] for p in ps for x in pieces[p]) for ps in whole]
-
-    def count(self, text):
-        # bytes.split knows the ASCII blanks only; other blanks stay inside a word and are left to the normaliser
-        freq = Counter(text.encode().split())
-        known = self.words
-        if len(known) > CACHE:
-            known.clear()
-        if new := [w for w in freq if w not in known]:
-            for w, n in zip(new, self.add([w.decode() for w in new])):
-                known[w] = n
-        return sum(map(operator.mul, map(known.__getitem__, freq), freq.values()))
-
-
-def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
+            n = [len(bpe.tokenize(x if x.isascii() and x.isprintable() else plain(x)[0][0])) for x in xs]
+            yield pa.RecordBatch.from_arrays([pa.array(map(_key, xs), pa.string()), b.column(1), pa.array(n, pa.int64())], ["key", "freq", "pieces"])
+
+    found = docs.where("text is not null").select("text").mapInArrow(gather, "x string, freq long")
+    return found.groupBy("x").agg(F.sum("freq").alias("freq")).mapInArrow(measure, "key string, freq long, pieces long")
+
+
+def count_tokens(docs: DataFrame, path: str, limit: int = 2048, head: int = HEAD) -> DataFrame:
+    table = stored(pre_tokens(docs, path).withColumn("class", F.floor(F.log2("freq") * 16).cast("int")))
+    least, left = 1 << 30, head  # classes of frequency, at most 1,024 rows
+    for r in table.groupBy("class").count().orderBy(F.desc("class")).collect():
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["class"]
+    often = table.where(F.col("class") >= least).select("key", "pieces").toArrow()
+    often = dict(zip(often["key"].to_pylist(), often["pieces"].to_pylist()))
+
     def run(batches):
-        counter = _Counter(path)
+        splitter, known, rare, at = _Splitter(path), {}, {}, TaskContext.get().partitionId() << 40
+
+        def learn(words):
+            for w, (n, xs) in zip(words, splitter.split(words)):
+                keys = list(map(_key, xs))
+                known[w] = n + sum(often.get(k, 0) for k in keys)
+                if odd := [k for k in keys if k not in often]:
+                    rare[w] = odd
+
         for b in batches:
-            n = [counter.count(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            row, id_, size, key, n = [], [], [], [], []
+            for t, i, bytes_ in zip(b.column(1), b.column(0).to_pylist(), b.column(2).to_pylist()):
+                freq = Counter(_words(t.as_py()))
+                if len(known) > CACHE:
+                    known.clear()
+                    rare.clear()
+                if new := [w for w in freq if w not in known]:
+                    learn(new)
+                odd = Counter()
+                for w in freq.keys() & rare.keys():
+                    for k in rare[w]:
+                        odd[k] += freq[w]
+                row += [at] * (1 + len(odd))
+                id_ += [i] + [None] * len(odd)
+                size += [bytes_] + [None] * len(odd)
+                key += [None, *odd]
+                n += [sum(map(operator.mul, map(known.__getitem__, freq), freq.values())), *odd.values()]
+                at += 1
+                if len(row) >= CUT:
+                    yield batch(row, id_, size, key, n)
+                    row, id_, size, key, n = [], [], [], [], []
+            yield batch(row, id_, size, key, n)
+
+    def batch(row, id_, size, key, n):
+        long = pa.int64()
+        return pa.RecordBatch.from_arrays([pa.array(row, long), pa.array(id_, long), pa.array(size, long), pa.array(key, pa.string()), pa.array(n, long)], ["row", "doc_id", "n_bytes", "key", "n"])
 
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    # one row a document, and one for each of its rare pre-tokens; written, so that numbers of rows hold when a task runs again
+    rows = stored(rows.mapInArrow(run, "row long, doc_id long, n_bytes long, key string, n long"))
+    more = rows.where("key is not null").join(table.where(F.col("class") < least).select("key", "pieces"), "key")
+    more = more.groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("more"))
+    n = (F.col("n") + F.coalesce("more", F.lit(0))).alias("n_tokens")
+    every = rows.where("key is null").select("row", "doc_id", "n_bytes", "n").join(more, "row", "left")
+    return every.select("doc_id", "n_bytes", n).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -26,10 +26,14 @@ def test_tokens(spark):
     from tokenizers import Tokenizer
 
     data = rows(spark)
+    long = "Wörter" * 5000
+    data += [(900, f"{long} {'ab' * 40} {'ab' * 40}x <|endoftext|>{long}"), (900, long), (None, f"{long} " * 50), (901, "a\u3000b\u00a0c <|startoftext|> \0"), (901, "of the of the " * 3000)]
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    want = [(i, len((x or "").encode()), len(t.encode(x or "", add_special_tokens=False).ids)) for i, x in data]
-    got = count_tokens(spark.createDataFrame(data, "doc_id long, text string"), P.path("word_bpe_49k.json")).collect()
-    assert sorted([tuple(r)[:3] for r in got], key=repr) == sorted(want, key=repr)
+    want = [(i, len((x or "").encode()), n := len(t.encode(x or "", add_special_tokens=False).ids), n > 2048) for i, x in data]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in data], "doc_id long, text string, key string, n int")
+    for head in (0, 40, 300_000):  # all pre-tokens joined by a shuffle, some, none
+        got = count_tokens(docs, P.path("word_bpe_49k.json"), head=head).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert count_tokens(spark.createDataFrame([], "doc_id long, text string"), P.path("word_bpe_49k.json")).collect() == []
 
 
