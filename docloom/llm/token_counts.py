@@ -10,7 +10,7 @@ gives none. Of a very long text one copy and its frequencies are in memory.
 import hashlib
 import json
 import operator
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -29,7 +29,7 @@ def parts(path: str) -> tuple[str, list[str]]:
     split, extra = pre[0] if pre else {}, d.get("added_tokens", [])
     blanks = [x for x in (d.get("normalizer") or {}).get("normalizers", []) if x["type"] == "Replace" and x["pattern"] == {"Regex": "\\s+"} and x["content"] == " "]
     fits = [x["type"] for x in pre] == ["Split", "ByteLevel"] and split["behavior"] == "Removed" and split["invert"] and "Regex" in split["pattern"] and not pre[1]["add_prefix_space"]
-    if not fits or not blanks or d["model"]["type"] != "BPE" or any(x["lstrip"] or x["rstrip"] or x["single_word"] for x in extra):
+    if not fits or not blanks or d["model"]["type"] != "BPE" or any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["content"].split() != [x["content"]] for x in extra):
         raise ValueError(f"{path} is built in a way that is not known here")
     return split["pattern"]["Regex"], sorted((x["content"] for x in extra), key=len, reverse=True)
 
@@ -52,8 +52,15 @@ class _Splitter:
         out = dict(zip(plain, self.normal.normalize_str(" ".join(plain)).split(" ")))
         return [out[w] if w in out else self.normal.normalize_str(w) for w in words]
 
+    def count(self, words):
+        """How often each pre-token comes in the words."""
+        return Counter(x for p in self.special.split(b" ".join(words).decode()) for x in self.piece.findall(self.normal.normalize_str(p)))
+
     def split(self, words):
         """For each word the number of its special strings and its pre-tokens."""
+        text = b" ".join(words).decode()
+        if text.isprintable() and not self.special.search(text):
+            return [(0, xs) for xs in map(self.piece.findall, self.normal.normalize_str(text).split(" "))]
         whole = [self.special.split(w.decode()) for w in words]
         every = list(dict.fromkeys(p for ps in whole for p in ps))
         pieces = dict(zip(every, map(self.piece.findall, self.normalised(every))))
@@ -76,13 +83,14 @@ def pre_tokens(docs: DataFrame, path: str) -> DataFrame:
         splitter, freq = _Splitter(path), Counter()
 
         def flush():
-            words, out = list(freq), Counter()
-            for i in range(0, len(words), CUT):
-                part = words[i : i + CUT]
-                for w, (_, xs) in zip(part, splitter.split(part)):
-                    for x in xs:
-                        out[x] += freq[w]
+            same, out = defaultdict(list), Counter()  # words of one frequency are split in one text
+            for w, n in freq.items():
+                same[n].append(w)
             freq.clear()
+            for n, words in same.items():
+                for i in range(0, len(words), CUT):
+                    for x, k in splitter.count(words[i : i + CUT]).items():
+                        out[x] += n * k
             xs, ns = list(out), list(out.values())
             for i in range(0, len(xs), CUT):
                 yield pa.RecordBatch.from_arrays([pa.array(xs[i : i + CUT], pa.string()), pa.array(ns[i : i + CUT], pa.int64())], ["x", "freq"])
@@ -124,9 +132,14 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, head: int = HEAD
 
         def learn(words):
             for w, (n, xs) in zip(words, splitter.split(words)):
-                keys = list(map(_key, xs))
-                known[w] = n + sum(often.get(k, 0) for k in keys)
-                if odd := [k for k in keys if k not in often]:
+                odd = []
+                for x in xs:
+                    if (p := often.get(x)) is None and (p := often.get(k := _key(x))) is None:
+                        odd.append(k)
+                    else:
+                        n += p
+                known[w] = n
+                if odd:
                     rare[w] = odd
 
         for b in batches:
