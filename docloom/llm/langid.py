@@ -5,13 +5,14 @@ fitted on at most PER_LANG labelled rows of each language by smallest hash (the
 without bins to collide in, and those unseen in training add to a text's length, not to its likeness. A text far from
 every centroid is marked rejected. How far is too far depends on a text's number of n-grams: cosines of training rows, cut
 to 1, 2, 4, ... words and taken without the n-grams that no other row has, give a bound for each doubling of it. Null
-texts and texts without a letter are `und`. Repeated rows give equal rows.
+texts and texts without a letter are `und`. Repeated rows give equal rows; rows without an id are judged, never learned
+from; an empty table gives none, other columns are not read (`keep_identified` passes them on), a whole text is judged.
 """
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-PER_LANG, CENTROIDS, LOWEST, SLACK, SIZES = 300, 3, 0.03, 0.5, 32
+PER_LANG, CENTROIDS, LOWEST, SLACK, SIZES, GROUPS = 300, 3, 0.03, 0.5, 32, 64
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -90,9 +91,14 @@ def size(g: tuple[np.ndarray, np.ndarray]) -> int:
 
 def fit(docs: DataFrame) -> Model:
     train = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = train.select("doc_id", "lang").withColumn("n", F.row_number().over(w)).where(F.col("n") <= PER_LANG).select("doc_id", "lang").distinct()
-    rows = sorted(train.join(rows, ["doc_id", "lang"], "left_semi").select("lang", "text").collect())
+    by = [F.xxhash64("doc_id"), "doc_id"]
+    rows = train.select("doc_id", "lang", F.pmod(by[0], F.lit(GROUPS)).alias("g"))
+    for keys in (["lang", "g"], ["lang"]):  # the first of each group, then of those: no language gathers in one task
+        n = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+        rows = rows.withColumn("n", n).where(F.col("n") <= PER_LANG).drop("n")
+    # of an id that comes with several texts, the least
+    rows = train.join(rows.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    rows = sorted(rows.select("lang", "text").collect())
     return Model([r.text for r in rows], [r.lang for r in rows])
 
 

@@ -159,3 +159,32 @@ def test_language_rejects_by_likeness_not_length(spark):
     far = {x.doc_id for x in identify(every).collect() if x.rejected}
     assert far == {f[0] for f in foreign}
     assert {x.doc_id for x in keep_identified(every).collect()} == {x.doc_id for x in every.select("doc_id").collect()} - far
+
+
+def test_language_odd_tables(spark, monkeypatch):
+    """Repeated and null ids, extra columns, a very long text, an empty table; groups and ranks pick the least hashes."""
+    from docloom.llm import langid as L
+
+    schema = "doc_id long, lang string, text string, g int, n int"
+    data = [(i, "ab"[i % 2], f"{'the cat' if i % 2 else 'der hund'} {i}", 1, 1) for i in range(40)]
+    data += [(0, "a", f"again {k}", 1, 1) for k in range(50)] + [(None, "a", "no id", 1, 1), (99, "a", "der hund " * 200_000, 1, 1)]
+    docs = spark.createDataFrame(data, schema)
+    seen = []
+    monkeypatch.setattr(L, "Model", lambda texts, langs: seen.append(list(zip(langs, texts))))
+    monkeypatch.setattr(L, "PER_LANG", 4)
+    L.fit(docs)
+    hashes = {r[0]: r[1] for r in docs.selectExpr("doc_id", "xxhash64(doc_id)").distinct().collect()}
+    want = []
+    for lang in "ab":
+        ids = sorted({r[0] for r in data if r[1] == lang and r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 != 1}, key=hashes.get)
+        # repeated rows of an id count in the bound
+        rows_ = sorted((hashes[r[0]], r[0]) for r in data if r[1] == lang and r[0] in ids)[:4]
+        want += [(lang, min(r[2] for r in data if r[0] == i and r[1] == lang)) for i in {i for _, i in rows_}]
+    assert seen[0] == sorted(want)
+    monkeypatch.undo()
+    got = L.identify(docs).collect()
+    assert len(got) == len(data) and all(r.lang_pred in ("a", "b", "und") and 0 <= r.score <= 1 for r in got)
+    assert {r.lang_pred for r in got if r.doc_id == 99} == {"a"} and sum(r.doc_id is None for r in got) == 1
+    assert L.keep_identified(docs).columns == docs.columns
+    none = spark.createDataFrame([], schema)
+    assert L.identify(none).count() == 0 and L.keep_identified(none).count() == 0
