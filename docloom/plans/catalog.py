@@ -10,11 +10,6 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def q_topk(spark, sf):
-    v = _t(spark, sf, "embeddings").select("vec_id", "embedding")
-    return topk_cosine(v, v.where("vec_id < 10").toDF("query_id", "query")).select("query_id", "vec_id", F.col("rk").cast("long").alias("rk"), "score")
-
-
-def q_topk_twentieth(spark, sf):
     """Every row whose id 20 divides against all rows, so the query set grows with the table."""
     v = _t(spark, sf, "embeddings").select("vec_id", "embedding")
     return topk_cosine(v, v.where("vec_id % 20 = 0").toDF("query_id", "query")).select("query_id", "vec_id", F.col("rk").cast("long").alias("rk"), "score")
@@ -81,10 +76,9 @@ def q_html(spark, sf):
     return _t(spark, sf, "pages").select("page_id", F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1).alias("title"))
 
 
-QUERIES = {"topk_cosine": q_topk, "topk_cosine_twentieth": q_topk_twentieth, "l2_norm": q_norm, "content_id": q_content_id, "dedup_by_content": q_dedup, "kappa": q_kappa, "precision_recall": q_pr, "boilerplate_keys": q_lines, "sentence_split": q_sentences, "needs_ocr": q_ocr, "incremental_build": q_incremental, "line_offsets": q_offsets, "html_parse": q_html} | extraction.QUERIES
+QUERIES = {"topk_cosine": q_topk, "l2_norm": q_norm, "content_id": q_content_id, "dedup_by_content": q_dedup, "kappa": q_kappa, "precision_recall": q_pr, "boilerplate_keys": q_lines, "sentence_split": q_sentences, "needs_ocr": q_ocr, "incremental_build": q_incremental, "line_offsets": q_offsets, "html_parse": q_html} | extraction.QUERIES
 SQL = {
-    "topk_cosine": "select query_id, vec_id, rk, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) rk from (select q.vec_id query_id, v.vec_id, round(list_cosine_similarity(v.embedding::double[], q.embedding::double[]), 4) score from embeddings v join embeddings q on q.vec_id < 10 and v.vec_id <> q.vec_id)) where rk <= 3",
-    "topk_cosine_twentieth": "select query_id, vec_id, rk, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) rk from (select q.vec_id query_id, v.vec_id, round(list_cosine_similarity(v.embedding::double[], q.embedding::double[]), 4) score from embeddings v join embeddings q on q.vec_id % 20 = 0 and v.vec_id <> q.vec_id)) where rk <= 3",
+    "topk_cosine": "select query_id, vec_id, rk, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) rk from (select q.vec_id query_id, v.vec_id, round(list_cosine_similarity(v.embedding::double[], q.embedding::double[]), 4) score from embeddings v join embeddings q on q.vec_id % 20 = 0 and v.vec_id <> q.vec_id)) where rk <= 3",
     "l2_norm": "select vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 4) as norm from embeddings",
     "content_id": "select doc_id, substr(sha256(text), 1, 16) as content_id from documents",
     "dedup_by_content": "select sha256(text) as content, min(doc_id) as doc_id, count(*) as copies from documents group by 1",

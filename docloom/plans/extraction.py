@@ -106,11 +106,6 @@ def q_names(spark, sf):
 
 
 def q_ranges(spark, sf):
-    d = _t(spark, sf, "pages").select("page_id", F.left("url", F.lit(12)).alias("url"))
-    return A.range_names(d, "url", "page_id").select("page_id", "range_name")
-
-
-def q_ranges_whole(spark, sf):
     """Names of whole urls."""
     return A.range_names(_t(spark, sf, "pages").select("page_id", "url"), "url", "page_id").select("page_id", "range_name")
 
@@ -124,7 +119,7 @@ def q_sample(spark, sf):
     return A.sample(_t(spark, sf, "documents").select("doc_id", "source"), "doc_id", 50)
 
 
-QUERIES = {"clean_glyphs": q_glyphs, "cut_references": q_references, "drop_fragments": q_fragments, "drop_boilerplate": q_boilerplate, "section_paths": q_sections, "blocks": q_blocks, "chunks": q_chunks, "token_count": q_tokens, "resolve_choices": q_resolve, "answer_kinds": q_answer, "prompt_context": q_context, "unanswered": q_unanswered, "rater_sheet": q_sheet, "pairwise_kappa": q_kappas, "by_choice": q_by_choice, "names_and_keys": q_names, "range_names": q_ranges, "range_names_whole": q_ranges_whole, "index_summary": q_summary, "seeded_sample": q_sample}
+QUERIES = {"clean_glyphs": q_glyphs, "cut_references": q_references, "drop_fragments": q_fragments, "drop_boilerplate": q_boilerplate, "section_paths": q_sections, "blocks": q_blocks, "chunks": q_chunks, "token_count": q_tokens, "resolve_choices": q_resolve, "answer_kinds": q_answer, "prompt_context": q_context, "unanswered": q_unanswered, "rater_sheet": q_sheet, "pairwise_kappa": q_kappas, "by_choice": q_by_choice, "names_and_keys": q_names, "range_names": q_ranges, "index_summary": q_summary, "seeded_sample": q_sample}
 
 _KEY = "regexp_replace(replace(lower({0}), 'ß', 'ss'), '[^a-z]+', '', 'g')"
 _FRAGMENT = r"(s <> '' and not regexp_matches(s, '^([#|*>-]|[0-9]+[.)]\s)') and (not regexp_matches(s, '[A-Za-z]') or (len(regexp_split_to_array(s, '\s+')) <= 3 and not regexp_matches(s, '[.!?:;,]$') and length(s) < 40)))"
@@ -151,8 +146,7 @@ SQL = {
     "pairwise_kappa": f"with r as (select quality = 1 as quality, toxic = 1 as toxic, doc_id % 2 = 1 as odd from labels) select rater1, rater2, n, round(po, 6) as agreement, round((po - pe) / nullif(1 - pe, 0), 6) as kappa from (select *, a * b + (1 - a) * (1 - b) as pe from ({_KAPPA}))",
     "by_choice": "select doc_id, lower(lang) as choice, true as r1, false as r2 from documents union all select doc_id, lower(source), true, true from documents",
     "names_and_keys": r"select page_id, lower(translate(url, '_ -,', '')) as name_key, case when length(n) > 50 then left(n, 50) || '_' || left(sha1(n), 8) else n end as output_name, 'a-b-1.0_t300_o50_' || regexp_replace(regexp_replace(url, '[^A-Za-z0-9.-]+', '-', 'g'), '^-+|-+$', '', 'g') as index_key from (select *, regexp_replace(regexp_replace(url || ' - a long name, with more than enough signs', '[ -]', '_', 'g'), '[^\p{L}\p{N}._-]', '', 'g') as n from pages)",
-    "range_names": "select page_id, case when rk = 1 then base else base || '_' || (rk - 1) end as range_name from (select *, row_number() over (partition by base order by page_id) as rk from (select page_id, regexp_replace(left(url, 12), '[^A-Za-z0-9_]', '_', 'g') as base from pages))",
-    "range_names_whole": "select page_id, case when rk = 1 then base else base || '_' || (rk - 1) end as range_name from (select *, row_number() over (partition by base order by page_id) as rk from (select page_id, regexp_replace(url, '[^A-Za-z0-9_]', '_', 'g') as base from pages))",
+    "range_names": "select page_id, case when rk = 1 then base else base || '_' || (rk - 1) end as range_name from (select *, row_number() over (partition by base order by page_id) as rk from (select page_id, regexp_replace(url, '[^A-Za-z0-9_]', '_', 'g') as base from pages))",
     "index_summary": "select source, count(*) as chunks, count(*) filter (contains(text, '|')) as tables, min(n_chars) as least, list_sort(list(n_chars))[count(*) // 2 + 1] as median, max(n_chars) as most from documents group by 1",
     "seeded_sample": "select doc_id, source from documents order by md5('42:' || doc_id) limit 50",
 }

@@ -107,7 +107,7 @@ def test_query_set_grows(spark):
     per = {q: [r[0] for r in spark.read.parquet(f"/root/testdata/{q}/embeddings.parquet").where("vec_id % 20 = 0").select("vec_id").collect()] for q in ("sf0.001", "sf0.01")}
     assert len(per["sf0.01"]) > 10
     for sf, ids in per.items():
-        df = E.entry(spark) if sf == "sf0.001" else E.queries()["topk_cosine_twentieth"](spark, f"/root/testdata/{sf}")
+        df = E.entry(spark) if sf == "sf0.001" else E.queries()["topk_cosine"](spark, f"/root/testdata/{sf}")
         assert sorted((r.query_id, r.rk) for r in df.collect()) == sorted((i, k) for i in ids for k in (1, 2, 3))
 
 
