@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-PER_LANG, CENTROIDS, LOWEST, SLACK, SIZES, GROUPS = 300, 3, 0.03, 0.5, 32, 64
+PER_LANG, CENTROIDS, LOWEST, SLACK, SIZES, GROUPS = 300, 3, 0.03, 0.5, 32, (64, 8, 1)
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +92,9 @@ def size(g: tuple[np.ndarray, np.ndarray]) -> int:
 def fit(docs: DataFrame) -> Model:
     train = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
     by = [F.xxhash64("doc_id"), "doc_id"]
-    rows = train.select("doc_id", "lang", F.pmod(by[0], F.lit(GROUPS)).alias("g"))
-    for keys in (["lang", "g"], ["lang"]):  # the first of each group, then of those: no language gathers in one task
-        n = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    rows = train.select("doc_id", "lang")
+    for groups in GROUPS:  # the first of each hashed group, then of ever fewer: no language gathers in one task
+        n = F.row_number().over(Window.partitionBy("lang", F.pmod(by[0], F.lit(groups))).orderBy(*by))
         rows = rows.withColumn("n", n).where(F.col("n") <= PER_LANG).drop("n")
     # of an id that comes with several texts, the least
     rows = train.join(rows.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))

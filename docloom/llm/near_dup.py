@@ -215,8 +215,18 @@ def _rest(bands: DataFrame, comp: DataFrame, reps: DataFrame, texts: DataFrame,
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row; link: 100 * intersection >= percent * union."""
-    small_batches(docs.sparkSession)
+    """doc_id, n_shingles, component_id, kept for every row; link: 100 * intersection >= percent * union.
+
+    All Python work is done and stored before this returns, so the session's batch size is set for its time only.
+    """
+    before = small_batches(docs.sparkSession)
+    try:
+        return _classes(docs, percent)
+    finally:
+        small_batches(docs.sparkSession, before)
+
+
+def _classes(docs: DataFrame, percent: int) -> DataFrame:
     d = stored(sketch(docs))
     known = d.where("n > 0 and doc_id is not null")
     own = stored(known.groupBy(F.col("doc_id").alias("own")).agg(F.max(F.struct("t", "digest", F.col("n").alias("size"))).alias("x")).select("own", "x.*"))

@@ -6,6 +6,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; where it is unset, a temporary folder, on a local master only: elsewhere executors would not see it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,9 +29,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Texts go to Python workers in batches of at most so many rows, so that long ones do not fill an executor."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int | str = 256) -> str:
+    """Texts go to Python workers in batches of at most so many rows, so that long ones do not fill an executor; returns what was set before."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows))
+    return before
 
 
 def _drop(spark: SparkSession, path: str) -> None:
