@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from docloom.operators.retrieval import l2_norm, topk_cosine
-from docloom.plans import extraction
+from docloom.plans import extraction, literals
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -76,7 +76,7 @@ def q_html(spark, sf):
     return _t(spark, sf, "pages").select("page_id", F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1).alias("title"))
 
 
-QUERIES = {"topk_cosine": q_topk, "l2_norm": q_norm, "content_id": q_content_id, "dedup_by_content": q_dedup, "kappa": q_kappa, "precision_recall": q_pr, "boilerplate_keys": q_lines, "sentence_split": q_sentences, "needs_ocr": q_ocr, "incremental_build": q_incremental, "line_offsets": q_offsets, "html_parse": q_html} | extraction.QUERIES
+QUERIES = {"topk_cosine": q_topk, "l2_norm": q_norm, "content_id": q_content_id, "dedup_by_content": q_dedup, "kappa": q_kappa, "precision_recall": q_pr, "boilerplate_keys": q_lines, "sentence_split": q_sentences, "needs_ocr": q_ocr, "incremental_build": q_incremental, "line_offsets": q_offsets, "html_parse": q_html} | extraction.QUERIES | literals.QUERIES
 SQL = {
     "topk_cosine": "select query_id, vec_id, rk, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) rk from (select q.vec_id query_id, v.vec_id, round(list_cosine_similarity(v.embedding::double[], q.embedding::double[]), 4) score from embeddings v join embeddings q on q.vec_id % 20 = 0 and v.vec_id <> q.vec_id)) where rk <= 3",
     "l2_norm": "select vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 4) as norm from embeddings",
@@ -90,4 +90,4 @@ SQL = {
     "incremental_build": "select doc_id, source from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)",
     "line_offsets": "select doc_id, pos, coalesce(sum(length(line) + 1) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as start from (select doc_id, generate_subscripts(s, 1) - 1 as pos, unnest(s) as line from (select doc_id, string_split(text, chr(10)) s from documents))",
     "html_parse": "select page_id, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) as title from pages",
-} | extraction.SQL
+} | extraction.SQL | literals.SQL
