@@ -1,9 +1,10 @@
 """Mixing sources to target weights by exponential keys.
 
-Whole epochs come first; the rest of a target is filled in the order of -ln(u) / quality, u being a hash of id and text,
-and the document at the boundary gives only the words that are left. Prefix sums run within slices of the key's range,
+Whole epochs come first; the rest of a target is filled in the order of -ln(u) / quality, u being the first 52 bits of
+the MD5 of id and text, which SQL engines share, and the document at the boundary gives only the words that are left. Prefix sums run within slices of the key's range,
 so no task holds a source. Null text counts no words, null sources form one source that comes last; repeated rows count
-each. Quality is 1.5, 0.5 or 1 for labels 1, 0 and none.
+each. Quality is 1.5, 0.5 or 1 for labels 1, 0 and none. Very long texts are counted whole, other columns are not read,
+and an empty table gives no rows.
 """
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -28,10 +29,10 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     q = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("labelled")).agg(F.max("quality").alias("quality"))
-    d = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("tie"))
+    d = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"), F.left(F.md5(F.concat_ws(":", "doc_id", "text")), F.lit(13)).alias("tie"))
     t = targets(d.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumnRenamed("source", "s1")
     d = d.join(q, d["doc_id"] == q["labelled"], "left").drop("labelled")
-    u = (F.pmod("tie", F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
+    u = (F.conv("tie", 16, 10).cast("long") + 1) / float((1 << 52) + 1)
     weight = F.when(F.col("quality") == 1, 1.5).when(F.col("quality") == 0, 0.5).otherwise(1.0)
     d = d.withColumn("key", -F.log(u) / weight).withColumn("slice", F.floor(SLICES * (1 - F.exp(-F.col("key")))))
     b = d.groupBy("source", "slice").agg(F.sum("size").alias("n"))

@@ -69,6 +69,18 @@ gone as (select distinct doc_id, unnest(range(s, s + 20)) as i from g where nth
 every as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as i from w),
 kept as (select e.doc_id, count(*) as n, string_agg(e.word, ' ' order by e.i) as words from every e anti join gone x on e.doc_id = x.doc_id and e.i = x.i group by 1)
 select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(words, '')) as kept_sha256 from w left join kept using (doc_id)""",
+    "op2_mixing": f"""
+with d as (select doc_id, source, len({WORDS.format('text')})::bigint as size, left(md5(concat_ws(':', doc_id, text)), 13) as tie from documents),
+q as (select doc_id as labelled, max(quality) as quality from labels where doc_id is not null group by 1),
+s as (select source, sum(size)::bigint as source_size, 2 * sum(size)::double as cap, ([3, 1, 2]::double[])[(row_number() over (order by source nulls last) - 1) % 3 + 1] as w from d group by 1),
+r as (select *, 1.5 * sum(source_size) over ()::double as total, sum(cap) over o as caps, sum(w) over () - sum(w) over o + w as open_w from s window o as (order by cap / w, source nulls last rows unbounded preceding)),
+f as (select *, total - caps + cap >= cap / w * open_w as reached from r),
+l as (select *, (total - coalesce(sum(cap) filter (reached) over (), 0)) / nullif(sum(w) filter (not reached) over (), 0) as level from f),
+t as (select source as s1, source_size, case when reached then cap else w * level end as target from l),
+k as (select *, -ln((('0x' || tie)::bigint + 1) / 4503599627370497::double) / case quality when 1 then 1.5 when 0 then 0.5 else 1 end as key, coalesce(floor(target / nullif(source_size, 0)), 0) as epochs
+  from d join t on source is not distinct from s1 left join q on doc_id = labelled),
+b as (select *, coalesce(sum(size) over (partition by source order by key, doc_id nulls first, tie rows between unbounded preceding and 1 preceding), 0)::double as before from k)
+select doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, floor(target - epochs * source_size) - before)))::bigint as taken from b""",
     "op3_media": """
 with crc as (select list(list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by n) as crc from range(256) r(n)),
 d as (select doc_id, encode(coalesce(text, '')) as raw from documents),

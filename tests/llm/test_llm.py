@@ -115,6 +115,25 @@ def test_mix(spark):
             assert abs(sum(r.taken for r in own) - want[s]) <= 1
 
 
+def test_mix_odd_tables(spark):
+    """Nulls, ties, repeated rows, a long text and clashing names; reruns and other partitions agree; empty tables."""
+    from docloom.llm.mixing import mix
+
+    long = "w " * 300_000
+    data = [(1, "a b", "x"), (1, "a b", "x"), (2, None, "x"), (3, "c d e", None), (None, "f", None), (4, "", "y"), (5, long, "z"), (6, " \t", "y")]
+    d = spark.createDataFrame([(*r, 9, 9, "q") for r in data], "doc_id long, text string, source string, size long, target long, quality string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, 0)], "doc_id long, quality int")
+    rows = lambda d: sorted(map(tuple, mix(d, labels).collect()), key=repr)
+    got = rows(d)
+    assert got == rows(d) == rows(d.repartition(3, "text")) and len(got) == len(data)
+    assert sorted((r[1], r[2]) for r in got) == [(0, 0), (0, 0), (0, 4), (1, 4), (2, 4), (2, 4), (3, 4), (300_000, 300_000)]
+    assert all(0 <= r[4] <= 2 * r[1] for r in got)
+    for ids in ((1, 2), (3, None), (4, 6), (5,)):  # a source each
+        own = [r for r in got if r[0] in ids]
+        assert len({r[3] for r in own}) == 1 and abs(sum(r[4] for r in own) - own[0][3]) <= 1
+    assert mix(d.limit(0), labels).count() == 0 and mix(d, labels.limit(0)).count() == len(data)
+
+
 def test_warc(spark):
     from docloom.llm.warc import round_trip
 

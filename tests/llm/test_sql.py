@@ -19,7 +19,7 @@ def spark():
 @pytest.mark.parametrize("name", list(SQL))
 def test_equal(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     want = db.sql(f"select {', '.join(df.columns)} from ({SQL[name]})").fetchall()
