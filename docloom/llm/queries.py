@@ -60,7 +60,31 @@ def op7(spark, sf):
 QUERIES = {"op7_pii": op7, "op4_near_dup": op4, "op6_decontamination": op6, "op9_language_id": op9, "op8_warc": op8, "op2_mixing": op2, "op1_substring_dedup": op1, "op3_media": op3, "op5_token_counts": op5, "op10_secret_scans": op10}
 # Words are runs of anything but the six ASCII blanks.
 WORDS = r"coalesce(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'), [])"
+# Kinds of spans with their ranks, RE2 patterns and what a match must be; matches are set between two private signs, so that lengths give places.
+ASSIGN = r"""((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))"""
+KINDS = [("assign", ASSIGN, f"length(regexp_extract(hit, '{ASSIGN}', 2)) >= 6"), ("access", "AKIA[A-Z0-9]+", "length(hit) >= 20"), ("hex", "[0-9a-f]+", "length(hit) >= 24"), ("key", "[A-Za-z0-9+/]+", "length(hit) = 40"), ("endpoint", "https?://[A-Za-z0-9.-]+", "true")]
+
+
+def _spans(rank, kind, pattern, condition):
+    return f"""
+{kind}_x as (select doc_id, generate_subscripts(p, 1) as j, unnest(p) as x from (select doc_id, string_split(regexp_replace(text, '{pattern}', chr(57344) || '\\0' || chr(57345), 'g'), chr(57344)) as p from d)),
+{kind}_y as (select doc_id, j, split_part(x, chr(57345), 1) as hit, length(split_part(x, chr(57345), 2)) as rest, sum(length(x) - (j > 1)::int) over (partition by doc_id order by j) as upto from {kind}_x),
+{kind} as (select doc_id, {rank} as rank, '{kind}' as kind, upto - rest - length(hit) as a, upto - rest as b from {kind}_y where j > 1 and {condition})"""
+
+
 SQL = {
+    "op10_secret_scans": f"""
+with d as (select doc_id, coalesce(text, '') as text from documents), {','.join(_spans(i, *k) for i, k in enumerate(KINDS))},
+sp as ({' union all '.join(f'from {k[0]}' for k in KINDS)}),
+near as (select w.doc_id, w.rank, w.kind, w.a, w.b, p.kind as part, p.rank as prank, p.a as pa, p.b as pb, (p.a, p.rank) < (w.a, w.rank) as before
+  from sp w join sp p on p.doc_id = w.doc_id and (w.rank = 3 and p.rank = 1 or w.rank = 4 and p.rank < 2)),
+best as (select * from near qualify row_number() over (partition by doc_id, rank, a, before order by case when before then -pb else pa end, case when before then -pa else prank end, -prank) = 1),
+linked as (select * from best where case when before then pb + 400 >= a else pa <= b + 400 end qualify row_number() over (partition by doc_id, rank, a order by before desc) = 1),
+every as (select doc_id, rank, kind, a, b from sp where rank < 3 union all select doc_id, rank, kind, a, b from linked),
+g as (select doc_id, {', '.join(f"count(*) filter (rank = {i}) as n_{k[0]}" for i, k in enumerate(KINDS[:3]))}, string_agg(kind || ':' || a || ':' || b, ',' order by a, rank, b) filter (rank < 3) as base, string_agg(kind || ':' || a || ':' || b, ',' order by a, rank, b) as spans from every group by 1),
+l as (select doc_id, string_agg(kind || ':' || a || ':' || b || '>' || part || ':' || pa || ':' || pb, ',' order by rank, a) as links from linked group by 1)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(links, '') as links
+from d left join g using (doc_id) left join l using (doc_id)""",
     "op1_substring_dedup": f"""
 with w as (select doc_id, {WORDS.format('text')} as ws from documents),
 p as (select doc_id, generate_subscripts(g, 1) as s, unnest(g) as g from (select doc_id, list_transform(range(1, len(ws) - 18), lambda i: md5(array_to_string(ws[i:i + 19], ' '))) as g from w where len(ws) >= 20)),
