@@ -12,7 +12,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def q_topk(spark, sf):
     """Every row whose id 20 divides against all rows, so the query set grows with the table."""
     v = _t(spark, sf, "embeddings").select("vec_id", "embedding")
-    return topk_cosine(v, v.where("vec_id % 20 = 0").toDF("query_id", "query")).select("query_id", "vec_id", F.col("rk").cast("long").alias("rk"), "score")
+    return topk_cosine(v, v.where("vec_id % 20 = 0").toDF("query_id", "query"), undefined=True).select("query_id", "vec_id", F.col("rk").cast("long").alias("rk"), "score")
 
 
 def q_norm(spark, sf):
