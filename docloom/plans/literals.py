@@ -87,7 +87,7 @@ def _vectors(spark, sf):
 
 def q_topk_gather(spark, sf):
     v, q = _vectors(spark, sf)
-    d = R.topk_cosine(v.select("vec_id", "embedding"), q.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")))
+    d = R.topk_cosine(v.select("vec_id", "embedding"), q.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), undefined=True)
     return d.groupBy("query_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("rk", "vec_id")))["vec_id"], ",").alias("chunks"))
 
 

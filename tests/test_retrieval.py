@@ -45,7 +45,7 @@ def tables(tmp_path_factory):
 
 
 @pytest.mark.parametrize("of", ["large", "halves", "odd", "few"])
-@pytest.mark.parametrize("name", ["topk_cosine"])
+@pytest.mark.parametrize("name", ["topk_cosine", "topk_gather"])
 def test_topk_equals_sql(spark, tables, name, of):
     db = duckdb.connect()
     db.execute(f"create view embeddings as select * from '{tables[of]}/embeddings.parquet'")
