@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 # Numbers of a block of vectors (one of queries has a quarter), blocks at least, columns and scores of a piece, rows sent on at once.
 BLOCK, BLOCKS, COLUMNS, PIECE, SENT = 1 << 22, 16, 2048, 1 << 18, 50_000
-PLACES = 1e4
 HALF = np.nextafter(0.5, 0)  # floor(x + HALF) rounds halves up and nothing below them
-NAN, NONE = 2 * PLACES, -2 * PLACES  # ranks of scores that are no numbers: first and last
+NAN, NONE = 2, -2  # ranked as scores: what is no number comes first, what is missing last
 
 
 def l2_norm(v):
@@ -32,7 +31,7 @@ def _matrix(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return m, has
 
 
-def _best_of_cell(t: pa.Table, keys: list[str], k: int, apart: bool, undefined: bool) -> Iterator[tuple[pa.Array, list[pa.Array], pa.Array]]:
+def _best_of_cell(t: pa.Table, keys: list[str], k: int, places: int, apart: bool, undefined: bool) -> Iterator[tuple[pa.Array, list[pa.Array], pa.Array]]:
     """Query ids, keys and scores of the best k of each query, among the rows with the same first key if there are two keys."""
     asked, held = t.filter(t["asked"]), t.filter(pc.invert(t["asked"]))
     if not asked.num_rows or not held.num_rows:
@@ -44,6 +43,7 @@ def _best_of_cell(t: pa.Table, keys: list[str], k: int, apart: bool, undefined:
     v = v if v.shape[1] == q.shape[1] else np.zeros((len(v), q.shape[1]))  # of one side no row has a vector
     q_square, v_square = (np.einsum("ij,ij->i", m, m) for m in (q, v))
     ids, columns = asked["query_id"].combine_chunks(), [held[c].combine_chunks() for c in keys]
+    scale = 10.0**places
     n, (x, y) = len(v), (c.to_numpy() if apart else None for c in (ids, columns[0]))
     starts = [0]
     if len(keys) > 1:
@@ -57,10 +57,10 @@ def _best_of_cell(t: pa.Table, keys: list[str], k: int, apart: bool, undefined:
         np.clip(s, -1, 1, out=s)
         if not undefined:
             s[q_square[i] == 0], s[:, v_square[j] == 0] = 0, 0
-        r = _rounded(s)
+        r = _rounded(s, scale)
         if np.isnan(r.sum()):
-            r[np.isnan(r)] = NAN
-        r[~q_has[i]], r[:, ~v_has[j]] = NONE, NONE
+            r[np.isnan(r)] = NAN * scale
+        r[~q_has[i]], r[:, ~v_has[j]] = NONE * scale, NONE * scale
         r *= n
         r += np.arange(n - 1 - j.start, n - 1 - j.stop, -1)
         if apart:
@@ -77,12 +77,12 @@ def _best_of_cell(t: pa.Table, keys: list[str], k: int, apart: bool, undefined:
                 kept = np.nonzero(r > -np.inf)
                 place, col = np.divmod(r[kept], n)
                 col = pa.array((n - 1 - col).astype(np.int64))
-                yield ids.take(pa.array(at + kept[0])), [c.take(col) for c in columns], pa.array(_rounded(s[kept]) / PLACES, mask=place == NONE, from_pandas=False)
+                yield ids.take(pa.array(at + kept[0])), [c.take(col) for c in columns], pa.array(_rounded(s[kept], scale) / scale, mask=place == NONE * scale, from_pandas=False)
 
 
-def _rounded(s: np.ndarray) -> np.ndarray:
-    """Of four places, as whole numbers; halves go away from zero."""
-    y = s * PLACES
+def _rounded(s: np.ndarray, scale: float) -> np.ndarray:
+    """As whole numbers of 1 / scale; halves go away from zero."""
+    y = s * scale
     r = np.abs(y)
     r += HALF
     np.floor(r, out=r)
@@ -96,7 +96,7 @@ def _largest(r: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     return np.take_along_axis(r, at, 1), np.take_along_axis(s, at, 1)
 
 
-def _scored(vectors: DataFrame, queries: DataFrame, keys: list[str], k: int, apart: bool, undefined: bool) -> DataFrame:
+def _scored(vectors: DataFrame, queries: DataFrame, keys: list[str], k: int, places: int, apart: bool, undefined: bool) -> DataFrame:
     """query_id, keys and score of what can be among the best k of a query: each block of vectors passes on its own best k.
 
     Both tables are dealt by a hash into blocks of a bounded size. Each block of queries meets each block of vectors in a
@@ -122,7 +122,7 @@ def _scored(vectors: DataFrame, queries: DataFrame, keys: list[str], k: int, apa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = []
-        for ids, columns, score in _best_of_cell(pa.Table.from_batches(list(batches)), keys, k, apart, undefined):
+        for ids, columns, score in _best_of_cell(pa.Table.from_batches(list(batches)), keys, k, places, apart, undefined):
             waiting.append(pa.RecordBatch.from_arrays([ids, *columns, score], names))
             if sum(b.num_rows for b in waiting) >= SENT:
                 yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
@@ -143,24 +143,27 @@ def topk_cosine(vectors: DataFrame, queries: DataFrame, k: int = 3, undefined: b
         raise ValueError("k must be at least 1")
     v = vectors.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     q = queries.where(F.col("query_id").isNotNull()).select(F.col("query_id").cast("long").alias("query_id"), "query")
-    d = _scored(v, q, ["vec_id"], k, True, undefined)
+    d = _scored(v, q, ["vec_id"], k, 4, True, undefined)
     w = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), "vec_id")
     return d.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
 
 
-def topk_per_paper(chunks: DataFrame, questions: DataFrame, k: int = 3, undefined: bool = False) -> DataFrame:
-    """chunks(paper_id, chunk_id, embedding), questions(question_id, embedding): of each paper, the best k chunks for each question by score of four places, ties by chunk_id.
+def topk_per_paper(chunks: DataFrame, questions: DataFrame, k: int = 3, places: int = 9, undefined: bool = False) -> DataFrame:
+    """chunks(paper_id, chunk_id, embedding), questions(question_id, embedding): of each paper, the best k chunks for each question by score of so many places, 4 to 9, ties by chunk_id.
 
-    Columns paper_id, question_id, chunk_id, score, rk. A paper with fewer chunks gives them all. undefined: as for topk_cosine.
+    Columns paper_id, question_id, chunk_id, score (four places), rk. A paper with fewer chunks gives them all. undefined: as for topk_cosine.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    if not 4 <= places <= 9:
+        raise ValueError("places must be 4 to 9")
     q = questions.select(F.col("question_id").alias("query_id"), F.col("embedding").alias("query"))
     c = chunks.select("paper_id", F.col("chunk_id").cast("long").alias("chunk_id"), "embedding")
-    d = _scored(c, q, ["paper_id", "chunk_id"], k, False, undefined).withColumnRenamed("query_id", "question_id")
+    d = _scored(c, q, ["paper_id", "chunk_id"], k, places, False, undefined).withColumnRenamed("query_id", "question_id")
     w = Window.partitionBy("paper_id", "question_id").orderBy(F.desc_nulls_last("score"), F.asc_nulls_last("chunk_id"))
     d = d.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
-    return d.select("paper_id", "question_id", "chunk_id", "score", "rk")
+    score = F.round("score", 4).alias("score") if places > 4 else "score"
+    return d.select("paper_id", "question_id", "chunk_id", score, "rk")
 
 
 def embed(rows: DataFrame, text: str, embedder: Callable[[list[str]], list], at_once: int = 8) -> DataFrame:

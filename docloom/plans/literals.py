@@ -94,7 +94,7 @@ def q_topk_gather(spark, sf):
 def q_topk_per_paper(spark, sf):
     """A label is a paper: its three nearest vectors for each query."""
     v, q = _vectors(spark, sf)
-    d = R.topk_per_paper(v.select(F.col("label").cast("long").alias("paper_id"), F.col("vec_id").alias("chunk_id"), "embedding"), q.select(F.col("vec_id").alias("question_id"), "embedding"))
+    d = R.topk_per_paper(v.select(F.col("label").cast("long").alias("paper_id"), F.col("vec_id").alias("chunk_id"), "embedding"), q.select(F.col("vec_id").alias("question_id"), "embedding"), places=4, undefined=True)
     return d.withColumn("rk", F.col("rk").cast("long"))
 
 

@@ -45,7 +45,7 @@ def tables(tmp_path_factory):
 
 
 @pytest.mark.parametrize("of", ["large", "halves", "odd", "few"])
-@pytest.mark.parametrize("name", ["topk_cosine", "topk_gather"])
+@pytest.mark.parametrize("name", ["topk_cosine", "topk_gather", "topk_per_paper"])
 def test_topk_equals_sql(spark, tables, name, of):
     db = duckdb.connect()
     db.execute(f"create view embeddings as select * from '{tables[of]}/embeddings.parquet'")
@@ -59,3 +59,14 @@ def test_vectors_of_two_lengths(spark, tmp_path):
     at = _table(tmp_path / "t", [0, 1, 2], [[1.0, 2.0], [1.0], [2.0, 1.0]], [1, 1, 1])
     with pytest.raises(Exception, match="vectors differ in length"):
         QUERIES["topk_cosine"](spark, at).collect()
+
+
+def test_places_and_missing_vectors(spark):
+    """Without undefined: no row for a missing vector, 0 for a zero one, and the fifth place decides; with four places the chunk_id does."""
+    from docloom.operators.retrieval import topk_per_paper
+
+    chunks = spark.createDataFrame([("p", 1, [1.0, 0.001]), ("p", 2, [1.0, 0.0]), ("p", 3, None), ("q", 1, [0.0, 0.0])], "paper_id string, chunk_id int, embedding array<double>")
+    asked = spark.createDataFrame([("a", [2.0, 0.0])], "question_id string, embedding array<float>")
+    got = lambda **o: sorted((r.paper_id, r.rk, r.chunk_id, r.score) for r in topk_per_paper(chunks, asked, **o).collect())
+    assert got() == [("p", 1, 2, 1.0), ("p", 2, 1, 1.0), ("q", 1, 1, 0.0)]
+    assert got(places=4) == [("p", 1, 1, 1.0), ("p", 2, 2, 1.0), ("q", 1, 1, 0.0)]
